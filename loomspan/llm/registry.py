@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, quality_rules
+from . import chat_format, language_id, quality_rules
 from .common import table
 from .fingerprints import fingerprint_edits
+from .mixing import mix
 from .near_dedup import near_duplicates
 from .packing import pack
 from .token_counts import count_tokens
+from .url_filters import judge_urls
+
+#: The rules of op4.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
 
 def byte_bpe() -> str:
@@ -35,6 +40,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -51,8 +64,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_token_counts, op3_quality_rules, op6_near_dedup, op7_chat_format, op8_fingerprints)}
+    return {f.__name__: f for f in (op1_packing, op2_token_counts, op3_quality_rules, op4_url_filters, op5_language_id, op6_near_dedup, op7_chat_format, op8_fingerprints, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

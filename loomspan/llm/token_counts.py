@@ -67,46 +67,79 @@ def vocabulary(docs: DataFrame, tokenizer_path: str, text: str = "text", held: i
     return distinct.mapInArrow(_counted(tokenizer_path), "piece string, n long, n_tokens long")
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, head: int = 300_000, head_chars: int = 32, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit), a row for each row of docs."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    vocab = written(vocabulary(docs, tokenizer_path, text), "vocabulary")
-    top = vocab.where(F.length("piece") <= head_chars).orderBy(F.desc("n"), "piece").limit(head)
-    common = spark.sparkContext.broadcast({r.piece: r.n_tokens for r in top.select("piece", "n_tokens").collect()})
+def most_frequent(values: DataFrame, most: int) -> DataFrame:
+    """The rows of highest n, by a threshold that at most `most` rows reach.
+
+    The threshold comes from a histogram of n on a logarithmic scale, so no task
+    sorts and the driver gets no candidates but the rows themselves.
+    """
+    step = F.floor(F.log2("n") * 16)
+    found, low = 0, None
+    for r in values.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect():
+        found += r.rows
+        if found > most:
+            break
+        low = r.step
+    return values.where(step >= low) if low is not None else values.where(F.lit(False))
+
+
+def sum_values(docs: DataFrame, frequencies, values: DataFrame, defaults: dict[str, float], head: int, head_chars: int, extras=None, extra_schema: str = "", key_type: str = "string") -> DataFrame:
+    """The columns of docs but text, and for each name in defaults the sum over a document's keys of times * value.
+
+    docs: any columns, the last one text. frequencies: Counter of keys of a text.
+    values: key, n (by which the head is chosen) and a double column per name;
+    a key without a row has the default. extras: arrays for a batch of texts,
+    further columns by extra_schema.
+    """
+    spark, names = docs.sparkSession, list(defaults)
+    top = most_frequent(values.where(F.length("key") <= head_chars), head)  # bounded by head * head_chars
+    common = spark.sparkContext.broadcast({bytes(r.key) if key_type == "binary" else r.key: tuple(r[n] for n in names) for r in top.select("key", *names).collect()})
+    own, extra = docs.columns[:-1], [x.split()[0] for x in extra_schema.split(", ") if x]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, row = common.value, TaskContext.get().partitionId() << 40
+        known, row, none = common.value, TaskContext.get().partitionId() << 40, (0.0,) * len(names)
         for batch in batches:
-            rows, src, pieces, n, tokens = [], [], [], [], []
-            for k, t in enumerate(batch.column(2).to_pylist()):
-                base = len(src)
+            rows, src, keys, times, sums = [], [], [], [], []
+            texts = batch.column(len(own)).to_pylist()
+            for k, t in enumerate(texts):
+                at, total = len(src), [0.0] * len(names)
+                rows.append(row)
                 src.append(k)
-                pieces.append(None)
-                n.append(None)
-                tokens.append(0)
-                total = 0
-                for piece, times in frequencies(t).items():
-                    count = known.get(piece)
-                    if count is None:
-                        src.append(k)
-                        pieces.append(piece)
-                        n.append(times)
-                        tokens.append(None)
+                keys.append(None)
+                times.append(None)
+                sums.append(none)
+                for key, n in frequencies(t).items():
+                    value = known.get(key)
+                    if value is None:
+                        rows.append(row)
+                        src.append(None)
+                        keys.append(key)
+                        times.append(n)
+                        sums.append(none)
                     else:
-                        total += times * count
-                tokens[base] = total
-                rows += [row] * (len(src) - base)
+                        for j, v in enumerate(value):
+                            total[j] += n * v
+                sums[at] = total
                 row += 1
-            is_base = [p is None for p in pieces]
-            own = pa.array([k if b else None for k, b in zip(src, is_base, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), batch.column(0).take(own), batch.column(1).take(own), pa.array(pieces, pa.string()), pa.array(n, pa.int32()), pa.array(tokens, pa.int64())], ["row", "doc_id", "n_bytes", "piece", "times", "known"])
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    parts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.col(text).alias("text")).mapInArrow(split, f"row long, doc_id {kind}, n_bytes long, piece string, times int, known long")
-    # rows of a document's own have no piece; a key of their own keeps them from meeting in one task
-    keyed = parts.withColumn("key", F.coalesce("piece", F.concat(F.lit("\0"), F.col("row").cast("string"))))
-    joined = keyed.join(vocab.select(F.col("piece").alias("key"), "n_tokens"), "key", "left")
-    tokens = F.when(F.col("piece").isNull(), F.col("known")).otherwise(F.col("times") * F.col("n_tokens"))
-    summed = joined.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum(tokens).alias("n_tokens"))
+            at = pa.array(src, pa.int64())
+            cols = [pa.array(rows, pa.int64()), pa.array(keys, pa.binary() if key_type == "binary" else pa.string()), pa.array(times, pa.int32())]
+            cols += [pa.array([x[j] for x in sums], pa.float64()) for j in range(len(names))]
+            cols += [batch.column(j).take(at) for j in range(len(own))] + [c.take(at) for c in (extras(texts) if extras else [])]
+            yield pa.RecordBatch.from_arrays(cols, ["row", "key", "times", *[f"known_{n}" for n in names], *own, *extra])
+
+    schema = f"row long, key {key_type}, times int, " + ", ".join([f"known_{n} double" for n in names] + [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own]) + (", " + extra_schema if extra else "")
+    parts = docs.mapInArrow(split, schema)
+    # a document's own row has no key; one of its own keeps those rows from meeting in one task
+    keyed = parts.withColumn("found", F.coalesce("key", F.concat(F.lit("\0"), F.col("row").cast("string")).cast(key_type))).join(values.select(F.col("key").alias("found"), *names), "found", "left")
+    terms = [F.sum(F.when(F.col("key").isNull(), F.col(f"known_{n}")).otherwise(F.col("times") * F.coalesce(F.col(n), F.lit(float(d))))).alias(n) for n, d in defaults.items()]
+    return keyed.groupBy("row").agg(*[F.max(c).alias(c) for c in [*own, *extra]], *terms).drop("row")
+
+
+def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, head: int = 250_000, head_chars: int = 32, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit), a row for each row of docs."""
+    small_batches(docs.sparkSession)
+    vocab = written(vocabulary(docs, tokenizer_path, text), "vocabulary")
+    values = vocab.select(F.col("piece").alias("key"), "n", F.col("n_tokens").cast("double").alias("n_tokens"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.col(text).alias("text"))
+    summed = sum_values(rows, frequencies, values, {"n_tokens": 0}, head, head_chars).withColumn("n_tokens", F.col("n_tokens").cast("long"))
     return summed.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

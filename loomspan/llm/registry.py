@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import chat_format, language_id, quality_rules
 from .common import table
 from .fingerprints import fingerprint_edits
+from .lm_scoring import score_documents
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -68,8 +69,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_token_counts, op3_quality_rules, op4_url_filters, op5_language_id, op6_near_dedup, op7_chat_format, op8_fingerprints, op9_mixing)}
+    return {f.__name__: f for f in (op1_packing, op2_token_counts, op3_quality_rules, op4_url_filters, op5_language_id, op6_near_dedup, op7_chat_format, op8_fingerprints, op9_mixing, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,14 +8,17 @@ by k. The labels that a shingle meets over all turns stand side by side, so a
 whole signature is one sliding window per shingle and a minimum over rows.
 
 Bands of the signature give candidate buckets; texts of equal sets are folded
-into one class first. Links are confirmed on full sets:
+into one class first. Two bits of every coordinate go along as a sketch: a
+pair whose sketches differ in more coordinates than a similar pair's do (five
+standard deviations) is no candidate. Links are confirmed on full sets:
 
-1. in every bucket, each class is compared with the smallest class in it;
+1. each class is compared with its anchor, the class of its buckets that meets
+   most others, so a large group of copies costs one comparison per member;
 2. linked classes form components;
 3. classes of a bucket that are still in different components are compared
-   pair by pair, unless the set sizes or the triangle inequality of the Jaccard
-   distance (both distances to the bucket's smallest class are known) rule a
-   link out, so a large group of copies costs one comparison per member.
+   pair by pair, unless the set sizes, the sketches or the triangle inequality
+   of the Jaccard distance (both distances to a common anchor are known) rule a
+   link out.
 
 Components come from min-label rounds over the confirmed links, each round
 written to the shared folder.
@@ -94,22 +97,25 @@ def signature(sets: list[np.ndarray], ring: np.ndarray, coordinates: int) -> np.
     return out
 
 
-def _sketch(bands: int, rows: int, size: int):
+def _sketch(bands: int, rows: int, size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ring = labels(bands * rows)
+        ring = labels(bits)
         seeds = np.random.default_rng(11).integers(1, 2**63, size=rows, dtype=np.uint64) | np.uint64(1)
         for batch in batches:
             sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
             full = [s for s in sets if len(s)]
-            coordinates = signature(full, ring, bands * rows).reshape(len(full), bands, rows).astype(np.uint64)
+            whole = signature(full, ring, bits)
+            planes = np.concatenate([np.packbits((whole >> k & 1).astype(np.uint8), axis=1) for k in (0, 1)], axis=1)
+            flags = iter(planes.view(np.int64)) if full else iter(())
+            coordinates = whole[:, : bands * rows].reshape(len(full), bands, rows).astype(np.uint64)
             keys = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(1), (len(full), bands)) * MIX
             for k in range(rows):
                 keys = _mix(keys + coordinates[:, :, k] * seeds[k])
             it = iter(keys.view(np.int64))
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array([next(it) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array([next(it) if len(s) else None for s in sets], pa.list_(pa.int64())), pa.array([next(flags) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "digest", "bands", "bits"],
             )
 
     return run
@@ -134,8 +140,12 @@ def _compare(size: int):
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, label: str) -> DataFrame:
     """pairs (a, b, size_a, size_b) with common, the size of the intersection."""
     kind = pairs.schema["a"].dataType.simpleString()
-    own, other = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(other, "b").join(own, "a").select("a", "b", "text_a", "text_b")
+    # the text of an a with many pairs goes to several tasks
+    share = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / 512).cast("int").alias("shares"))
+    own = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).join(share, "a").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    dealt = pairs.select("a", "b").join(share, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share"))
+    both = dealt.join(other, "b").join(own, ["a", "share"]).select("a", "b", "text_a", "text_b")
     found = both.mapInArrow(_compare(size), f"a {kind}, b {kind}, common long")
     return written(pairs.join(found, ["a", "b"]), label)
 
@@ -160,45 +170,74 @@ def components(links: DataFrame, label: str, most_rounds: int = 200) -> DataFram
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = 25, rows: int = 5, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def differing(a: Column, b: Column, words: int) -> Column:
+    """Coordinates in which two sketches (two planes of bits each) differ."""
+
+    def other(k):
+        return F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+
+    out = F.lit(0)
+    for k in range(words):
+        out = out + F.bit_count(other(k).bitwiseOR(other(k + words)))
+    return out
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = 32, rows: int = 7, size: int = 5, bits: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row for each row of docs.
 
     percent: documents are linked from this Jaccard similarity, in hundredths.
-    With 25 bands of 5 rows a pair at 0.85 is missed with a chance below 1e-6.
+    With 32 bands of 7 rows and 512 bits a pair at 0.85 is missed with a chance of about 5e-6.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    sketch = written(texts.mapInArrow(_sketch(bands, rows, size), f"doc_id {kind}, n_shingles long, digest binary, bands array<long>"), "sketch")
+    sketch = written(texts.mapInArrow(_sketch(bands, rows, size, bits), f"doc_id {kind}, n_shingles long, digest binary, bands array<long>, bits array<long>"), "sketch")
     full = sketch.where("digest is not null and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = full.join(classes, "digest").where("doc_id = rep").dropDuplicates(["rep"]).select(F.col("rep").alias("id"), F.col("n_shingles").alias("size"), F.col("bands"))
-    dealt = reps.select("id", "size", F.explode("bands").alias("bucket"))
-    heads = dealt.groupBy("bucket").agg(F.min(F.struct("id", "size")).alias("head"), F.count("*").alias("n")).where("n > 1").select("bucket", "head")
-    member = written(dealt.join(heads, "bucket").select("bucket", "id", "size", F.col("head.id").alias("head"), F.col("head.size").alias("head_size")), "buckets")
-
-    # 1. each class with the smallest class of its bucket
-    fits = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
-    star = member.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), F.col("head_size").alias("size_a"), F.col("size").alias("size_b")).distinct().where(fits)
+    reps = full.select("digest", "doc_id", "n_shingles", "bands").join(classes, "digest").where("doc_id = rep").select(F.col("rep").alias("id"), F.col("n_shingles").alias("size"), "bands")
+    dealt = reps.select("id", "size", F.explode("bands").alias("bucket")).distinct()
+    crowded = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    member = written(dealt.join(crowded, "bucket").select("bucket", "id", "size", "n"), "buckets")
+    known = written(full.join(member.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "bits"), "bits")
+    differ = 0.75 * (1 - percent / 100)  # chance of a coordinate of two documents at the limit
+    most_bits = int(bits * differ + 5 * (bits * differ * (1 - differ)) ** 0.5)
+
+    def alike(x, y):
+        return (F.least(x["size"], y["size"]) * 100 >= F.greatest(x["size"], y["size"]) * percent) & (differing(x["bits"], y["bits"], bits // 64) <= most_bits)
+
+    # 1. each class with its anchor
+    weights = member.groupBy("id").agg(F.sum("n").alias("weight"), F.first("size").alias("size"))
+    ranked = member.select("bucket", "id").join(weights, "id").withColumn("me", F.struct("weight", "id", "size"))
+    heads = ranked.groupBy("bucket").agg(F.max("me").alias("head"))
+    anchors = ranked.select("bucket", "id", "size").join(heads, "bucket").groupBy("id", "size").agg(F.max("head").alias("head"))
+    anchors = anchors.select("id", "size", F.col("head.id").alias("anchor"), F.col("head.size").alias("anchor_size")).join(known, "id")
+    anchors = anchors.join(known.select(F.col("id").alias("anchor"), F.col("bits").alias("anchor_bits")), "anchor").select(F.struct("id", "size", "bits").alias("x"), F.struct(F.col("anchor").alias("id"), F.col("anchor_size").alias("size"), F.col("anchor_bits").alias("bits")).alias("y"))
+    anchors = written(anchors.withColumn("alike", alike(F.col("x"), F.col("y"))), "anchors")
+    star = anchors.where("alike and x.id <> y.id").select(F.col("y.id").alias("a"), F.col("x.id").alias("b"), F.col("y.size").alias("size_a"), F.col("x.size").alias("size_b"))
     star = _confirmed(star, texts_of(texts, star), size, "star")
     linked = star.where(similar_enough(F.col("common"), F.col("size_a"), F.col("size_b"), percent)).select("a", "b")
     at = components(linked, "first")
 
     # 2. what a bucket still holds in different components
-    placed = member.join(at.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("bucket")
     distance = 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
-    far = star.select(F.col("a").alias("head"), F.col("b").alias("id"), distance.alias("known"))
-    ruled = 1 - F.least("size", "head_size") / F.greatest("size", "head_size")
-    open_ = placed.join(mixed, "bucket").where("id <> head").join(far, ["head", "id"], "left")
-    open_ = open_.select("bucket", "id", "size", "root", "head", F.coalesce("known", ruled).alias("low"), F.coalesce("known", F.lit(1.0)).alias("high"))
-    # a link joins different components, so one side lies outside the component of the bucket's head
-    head_root = at.select(F.col("node").alias("head"), F.col("root").alias("head_root"))
-    open_ = open_.join(head_root, "head", "left").withColumn("outside", F.col("root") != F.coalesce("head_root", "head"))
+    facts = anchors.select(F.col("x.id").alias("id"), F.col("y.id").alias("anchor"), F.col("x.bits").alias("bits"), (1 - F.least("x.size", "y.size") / F.greatest("x.size", "y.size")).alias("ruled"))
+    facts = facts.join(star.select(F.col("b").alias("id"), distance.alias("distance")), "id", "left").join(at.withColumnRenamed("node", "id"), "id", "left")
+    own = F.col("id") == F.col("anchor")
+    facts = facts.select("id", "anchor", "bits", F.coalesce("root", "id").alias("root"), F.when(own, 0.0).otherwise(F.coalesce("distance", "ruled")).alias("low"), F.when(own, 0.0).otherwise(F.coalesce("distance", F.lit(1.0))).alias("high"))
+    placed = member.select("bucket", "id", "size").join(facts, "id")
+    common_root = F.max(F.struct("n", "root"))["root"]
+    crowd = placed.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(common_root.alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    # a link joins different components, so one side lies outside the bucket's largest one
+    open_ = placed.join(crowd, "bucket").withColumn("outside", F.col("root") != F.col("main")).drop("main", "roots")
+    open_ = written(open_.join(open_.groupBy("id").agg(F.collect_set("bucket").alias("buckets")), "id"), "open")  # bands buckets at most
     x, y = open_.where("outside").alias("x"), open_.alias("y")
     reach = F.lit(1 - percent / 100 + 1e-9)
-    may = (F.col("x.root") != F.col("y.root")) & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id"))) & (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent) & (F.col("x.low") - F.col("y.high") <= reach) & (F.col("y.low") - F.col("x.high") <= reach)
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & may).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.when(F.col("x.id") < F.col("y.id"), F.col("x.size")).otherwise(F.col("y.size")).alias("size_a"), F.when(F.col("x.id") < F.col("y.id"), F.col("y.size")).otherwise(F.col("x.size")).alias("size_b")).distinct()
+    apart = (F.col("x.anchor") == F.col("y.anchor")) & ((F.col("x.low") - F.col("y.high") > reach) | (F.col("y.low") - F.col("x.high") > reach))
+    sides = [{c: F.col(f"{n}.{c}") for c in ("size", "bits")} for n in "xy"]
+    may = (F.col("x.root") != F.col("y.root")) & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id"))) & ~apart & alike(*sides)
+    may = may & (F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket"))  # once, not in each common bucket
+    first = F.col("x.id") < F.col("y.id")
+    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & may).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.when(first, F.col("x.size")).otherwise(F.col("y.size")).alias("size_a"), F.when(first, F.col("y.size")).otherwise(F.col("x.size")).alias("size_b")).distinct()
     rest = written(rest, "rest")
     if rest.limit(1).count():
         rest = _confirmed(rest, texts_of(texts, rest), size, "rest-confirmed")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import importlib
+
 FLAGSHIP = "map_site_inventory"
+MODULES = ("urls", "filters", "pages", "tallies", "ranking", "joins", "state", "text", "pipelines")
+
+
+def _all():
+    return [importlib.import_module(f"loomspan.plans.q_{m}").Q for m in MODULES]
 
 
 def queries():
-    return {}
+    return {name: f for q in _all() for name, (f, _) in q.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for q in _all() for name, (_, sql) in q.items() if sql}

@@ -64,12 +64,10 @@ def any_match(target: Column, patterns: list[str]) -> Column:
     return F.lit(False) if not patterns else target.rlike("|".join(f"(?:{p})" for p in patterns))
 
 
-def denial_reason(link: Column, scope: Scope) -> Column:
-    """Null if the link may be followed."""
+def denial_reason(url: Column, p: Column, h: Column, scope: Scope) -> Column:
+    """Of a resolved URL with its path and host; null if it may be followed."""
     base, first = F.lit(scope.base_url), F.lit(scope.initial_url)
-    url = U.resolve(base, F.trim(link))
     web = url.rlike("^https?://")
-    p, h = U.path(url), U.host(url)
     internal = F.regexp_replace(h, r"^(www\.)+", "") == F.regexp_replace(U.host(base), r"^(www\.)+", "")
     initial_internal = F.regexp_replace(U.host(first), r"^(www\.)+", "") == F.regexp_replace(U.host(base), r"^(www\.)+", "")
     frag = F.split(url, "#")
@@ -99,7 +97,9 @@ def denial_reason(link: Column, scope: Scope) -> Column:
 
 def filter_links(links: DataFrame, scope: Scope, link: str = "link", order: str | None = None, limit: int | None = None) -> DataFrame:
     """links with denial_reason; with a limit, rows after the limit-th accepted one in the given order are dropped."""
-    out = links.withColumn("denial_reason", denial_reason(F.col(link), scope))
+    # resolved once: a column that is used more than once is not inlined
+    out = links.withColumn("__url", U.resolve(F.lit(scope.base_url), F.trim(F.col(link)))).withColumns({"__path": U.path(F.col("__url")), "__host": U.host(F.col("__url"))})
+    out = out.withColumn("denial_reason", denial_reason(F.col("__url"), F.col("__path"), F.col("__host"), scope)).drop("__url", "__path", "__host")
     if limit is None:
         return out
     # the cut is a place in the order, found from the accepted links alone

@@ -1,3 +1,81 @@
-from .registry import Registry
+"""Queries over raw pages."""
+
+from pyspark.sql import functions as F
+
+from loomspan.functions import html as H
+from loomspan.functions import urls as U
+from loomspan.operators import page_columns as P
+
+from .registry import Registry, table
 
 Q = Registry()
+HOST = "regexp_extract(url, '^([^:]*://[^/?#]*)', 1)"
+
+
+@Q.query("""SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*\\shref="([^"]*)"', 1)) AS href FROM pages""")
+def html_raw_links(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(P.links_fast(F.col("html"))).alias("href"))
+
+
+@Q.query(f"""WITH l AS (SELECT DISTINCT page_id, {HOST} || href AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a[^>]*\\shref="([^"]*)"', 1)) AS href FROM pages)) SELECT page_id, count(*) AS n_links, sha256(string_agg(link, chr(10) ORDER BY link)) AS links_sha256 FROM l GROUP BY page_id""")
+def html_links(spark, sf_dir):
+    p = P.page_columns(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "links").where(F.size("links") > 0)
+    return p.select("page_id", F.size("links").cast("long").alias("n_links"), F.sha2(F.array_join(F.array_sort("links"), "\n"), 256).alias("links_sha256"))
+
+
+@Q.query(f"""SELECT page_id, {HOST} || href AS link FROM (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(html, '<a[^>]*\\shref="([^"]*)"', 1)) AS href FROM pages)""")
+def html_links_native(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(F.array_distinct(P.links_fast(F.col("html")))).alias("href"))
+    return p.select("page_id", U.resolve(F.col("url"), F.col("href")).alias("link"))
+
+
+@Q.query("""SELECT page_id, nullif(regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS language,
+replace(replace(replace(trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title FROM pages""")
+def html_metadata(spark, sf_dir):
+    return P.page_columns(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "title", "language").select("page_id", "language", "title")
+
+
+@Q.query()
+def html_markdown(spark, sf_dir):
+    return P.page_columns(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "markdown").select("page_id", "markdown")
+
+
+@Q.query()
+def html_main_content(spark, sf_dir):
+    return P.page_columns(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "html", "text", exclude=["h1", "*comment*"]).select("page_id", "html", "text")
+
+
+@Q.query("SELECT page_id, [] ::VARCHAR[] AS images FROM pages")
+def html_images(spark, sf_dir):
+    return P.page_columns(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "images").select("page_id", "images")
+
+
+@Q.query()
+def html_sentences(spark, sf_dir):
+    """A row for each heading, sentence, table row and code line of a page."""
+    md = P.page_columns(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "markdown")
+    cut = F.udf(H.sentences, "array<struct<text:string,kind:string,block:int,header:boolean>>", useArrow=True)
+    return md.select("page_id", F.posexplode(cut("markdown")).alias("pos", "s")).select("page_id", "pos", "s.*")
+
+
+@Q.query("""SELECT doc_id, regexp_replace('a ![x](data:image/png;base64,AAA' || doc_id || ') ' || coalesce(text, ''), '(!\\[.*?\\])\\(data:image/.*?;base64,.*?\\)', '\\1(<Base64-Image-Removed>)', 'g') AS markdown,
+CASE WHEN doc_id % 2 = 0 THEN '```json' || chr(10) || '{"id":' || doc_id || '}' || chr(10) || '```' ELSE 'md' END AS body FROM documents""")
+def markdown_cleanup(spark, sf_dir):
+    md = F.concat(F.lit("a ![x](data:image/png;base64,AAA"), F.col("doc_id").cast("string"), F.lit(") [Skip to content](#x)"), F.coalesce("text", F.lit("")))
+    md = F.replace(P.without_skip_links(P.without_base64_images(md)), F.lit(") "), F.lit(") "))
+    kind = F.when(F.col("doc_id") % 2 == 0, "application/json; charset=utf-8").otherwise("text/html")
+    return table(spark, sf_dir, "documents").select("doc_id", md.alias("markdown"), P.json_as_markdown(F.concat(F.lit('{"id":'), F.col("doc_id").cast("string"), F.lit("}")), kind, F.lit("md")).alias("body"))
+
+
+@Q.query("""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<script\\b.*?</script>', '', 'gis'), '<style\\b.*?</style>', '', 'gis') AS t FROM pages)
+SELECT page_id, trim(regexp_replace(substring(t, coalesce(least(nullif(instr(lower(t), '<header'), 0), nullif(instr(lower(t), '<nav'), 0), nullif(instr(lower(t), '<body'), 0)), 1), 5500), '\\s+', ' ', 'g')) AS chunk FROM t""")
+def html_header_chunk(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", P.header_chunk(F.col("html")).alias("chunk"))
+
+
+@Q.query(f"""WITH l AS (SELECT DISTINCT page_id, {HOST} AS host, unnest(regexp_extract_all(html, '<a[^>]*\\shref="([^"]*)"', 1)) AS href FROM pages)
+SELECT host, href, count(DISTINCT page_id) AS pages FROM l GROUP BY host, href HAVING count(DISTINCT page_id) >= 2""")
+def html_repeated_elements(spark, sf_dir):
+    """Links that several pages of a host share: what signature-based boilerplate removal learns from."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", r"^([^:]*://[^/?#]*)", 1).alias("host"), F.explode(F.array_distinct(P.links_fast(F.col("html")))).alias("href"))
+    return p.groupBy("host", "href").agg(F.countDistinct("page_id").alias("pages")).where("pages >= 2")

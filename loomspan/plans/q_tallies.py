@@ -1,3 +1,186 @@
-from .registry import Registry
+"""Queries of group counts, billing, usage and quotas. Orders stand in for jobs, line items for billed operations."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from loomspan.operators import tallies as T
+
+from .registry import Registry, table
 
 Q = Registry()
+STATUS = "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'queued' WHEN 'P' THEN 'active' ELSE 'failed' END"
+JOBS = f"j AS (SELECT o_orderkey AS id, o_custkey % 50 AS group_id, {STATUS} AS status, o_orderdate AS created_at, CAST(substr(o_orderpriority, 1, 1) AS INT) AS priority, o_totalprice AS price FROM orders)"
+COUNTED = f"{JOBS}, c AS (SELECT group_id, status, count(*) AS n FROM j GROUP BY ALL UNION ALL SELECT c_custkey % 50, 'backlog', count(*) FROM customer WHERE c_acctbal < 0 GROUP BY 1)"
+
+
+def jobs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 50).alias("group_id"), F.expr(STATUS).alias("status"), F.col("o_orderdate").alias("created_at"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"), F.col("o_totalprice").alias("price"))
+
+
+def backlog(spark, sf_dir):
+    return table(spark, sf_dir, "customer").where("c_acctbal < 0").select((F.col("c_custkey") % 50).alias("group_id"), F.col("c_custkey").alias("owner_id"))
+
+
+@Q.query(f"WITH {COUNTED} SELECT * FROM c")
+def job_status_counts(spark, sf_dir):
+    return T.status_counts(jobs(spark, sf_dir), backlog(spark, sf_dir))
+
+
+@Q.query(f"WITH {COUNTED} SELECT group_id, CAST(coalesce(sum(n) FILTER (status = 'completed'), 0) AS BIGINT) AS completed, CAST(coalesce(sum(n) FILTER (status IN ('completed', 'active', 'queued', 'backlog')), 0) AS BIGINT) AS total FROM c GROUP BY group_id")
+def crawl_progress(spark, sf_dir):
+    return T.progress(T.status_counts(jobs(spark, sf_dir), backlog(spark, sf_dir)))
+
+
+@Q.query(f"WITH {JOBS} SELECT status, count(*) AS n FROM j WHERE status IN ('queued', 'active') GROUP BY status")
+def queue_metrics(spark, sf_dir):
+    return jobs(spark, sf_dir).where(F.col("status").isin("queued", "active")).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@Q.query("SELECT DISTINCT c_custkey AS owner_id FROM customer WHERE c_acctbal < 0")
+def backlogged_owners(spark, sf_dir):
+    return backlog(spark, sf_dir).select("owner_id").distinct()
+
+
+@Q.query("""WITH o AS (SELECT CASE WHEN l_suppkey % 10 = 0 THEN 'preview_' ELSE 'team_' END || l_suppkey AS team_id, l_returnflag AS subscription_id, l_linestatus AS endpoint, CAST(l_quantity AS BIGINT) AS credits, l_linenumber % 2 = 0 AS tracked FROM lineitem)
+SELECT team_id, subscription_id, endpoint, CAST(sum(credits) AS BIGINT) AS credits, CAST(sum(CASE WHEN NOT tracked THEN credits ELSE 0 END) AS BIGINT) AS untracked, count(*) AS ops FROM o WHERE team_id NOT LIKE 'preview%' GROUP BY ALL""")
+def billing_batch(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    team = F.concat(F.when(F.col("l_suppkey") % 10 == 0, "preview_").otherwise("team_"), F.col("l_suppkey").cast("string"))
+    return T.billing_batches(li.select(team.alias("team_id"), F.col("l_returnflag").alias("subscription_id"), F.col("l_linestatus").alias("endpoint"), F.col("l_quantity").cast("long").alias("credits"), (F.col("l_linenumber") % 2 == 0).alias("tracked")))
+
+
+@Q.query("""WITH o AS (SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN 5 WHEN p_size % 7 = 0 THEN 5 ELSE 1 END AS base, p_size AS s FROM part)
+SELECT id, CAST(base + CASE WHEN s % 4 = 0 THEN 4 ELSE 0 END + CASE WHEN s % 5 = 0 THEN 4 ELSE 0 END + CASE WHEN s % 11 = 0 THEN 4 ELSE 0 END + CASE WHEN s % 13 = 0 THEN 29 ELSE 0 END + CASE WHEN s % 2 = 0 AND s % 7 <> 0 THEN 1 ELSE 0 END + greatest(s % 6 - 1, 0) AS BIGINT) AS credits FROM o""")
+def scrape_credits(spark, sf_dir):
+    s = F.col("p_size")
+    formats = F.filter(F.array(F.when(s % 3 == 0, "json"), F.when(s % 4 == 0, "question"), F.when(s % 5 == 0, "highlights")), lambda x: x.isNotNull())
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.scrape_credits(formats, s % 7 == 0, s % 2 == 0, s % 6, s % 11 == 0, s % 13 == 0).cast("long").alias("credits"))
+
+
+@Q.query("SELECT p_partkey AS id, CAST(ceil(p_size / 10.0) * CASE WHEN p_size % 2 = 0 THEN 10 ELSE 2 END AS BIGINT) AS credits FROM part")
+def search_credits(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.search_credits(F.col("p_size"), F.col("p_size") % 2 == 0).alias("credits"))
+
+
+@Q.query("""WITH m AS (SELECT o_orderpriority AS api_key, date_trunc('month', o_orderdate) AS start_date, count(*) AS credits FROM orders GROUP BY ALL)
+SELECT api_key, CAST(start_date AS TIMESTAMP) AS start_date, credits, CASE WHEN start_date = max(start_date) OVER (PARTITION BY api_key) THEN NULL ELSE CAST(start_date + INTERVAL 1 MONTH AS TIMESTAMP) END AS end_date, credits * 15 AS tokens FROM m""")
+def usage_by_month(spark, sf_dir):
+    points = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("api_key"), F.col("o_orderdate").alias("date"), F.lit(1).cast("long").alias("value"))
+    return T.monthly_usage(points, ["api_key"])
+
+
+KINDS = ["same", "new", "changed", "removed", "error"]
+PAGE_STATUS = "CASE WHEN event_id % 97 = 0 THEN 'error' WHEN event_id % 7 = 0 THEN 'new' WHEN event_id % 5 = 0 THEN 'changed' WHEN event_id % 11 = 0 THEN 'removed' ELSE 'same' END"
+
+
+@Q.query(f"WITH p AS (SELECT user_id AS check_id, {PAGE_STATUS} AS s FROM events) SELECT check_id, " + ", ".join(f"count(*) FILTER (s = '{k}') AS {k}" for k in KINDS) + ", count(*) AS total, CASE WHEN count(*) FILTER (s = 'error') > 0 THEN 'partial' ELSE 'completed' END AS status FROM p GROUP BY check_id")
+def monitor_summary(spark, sf_dir):
+    p = table(spark, sf_dir, "events").select(F.col("user_id").alias("check_id"), F.expr(PAGE_STATUS).alias("s"))
+    return T.summary_counts(p, "check_id", "s", KINDS)
+
+
+@Q.query("""WITH d AS (SELECT o_custkey AS domain, sqrt(count(*)) AS priority FROM orders GROUP BY o_custkey HAVING count(*) >= 2), t AS (SELECT * FROM d ORDER BY priority DESC, domain LIMIT 50),
+x AS (SELECT *, min(priority) OVER () AS lo, max(priority) OVER () AS hi, greatest(sum(priority) OVER (), 1) AS total, count(*) OVER () AS n FROM t)
+SELECT domain, priority, CAST(floor(10 + CASE WHEN hi = lo THEN 0 ELSE (priority - lo) / (hi - lo) END * 40 + 0.5) AS BIGINT) AS urls, CAST(floor(priority / total * CASE WHEN n <= 25 THEN least(50000, 3000 + (n - 1) * 500) WHEN n <= 100 THEN least(50000, 10000 + (n - 5) * 200) ELSE 50000 END) AS BIGINT) AS budget FROM x""")
+def precrawl_quotas(spark, sf_dir):
+    d = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("domain")).agg(F.count("*").alias("n")).where("n >= 2").select("domain", F.sqrt("n").alias("priority"))
+    t = d.orderBy(F.desc("priority"), "domain").limit(50)
+    w = Window.partitionBy()
+    x = t.select("*", F.min("priority").over(w).alias("lo"), F.max("priority").over(w).alias("hi"), F.greatest(F.sum("priority").over(w), F.lit(1.0)).alias("total"), F.count("*").over(w).alias("n"))
+    share = F.when(F.col("hi") == F.col("lo"), 0.0).otherwise((F.col("priority") - F.col("lo")) / (F.col("hi") - F.col("lo")))
+    return x.select("domain", "priority", F.floor(10 + share * 40 + 0.5).cast("long").alias("urls"), F.floor(F.col("priority") / F.col("total") * T.precrawl_budget(F.col("n"))).cast("long").alias("budget"))
+
+
+@Q.query("""WITH r AS (SELECT user_id % 40 AS domain, value AS similarity, event_id % 10 < 7 AS tls_ok, event_id % 10 < 9 AS cdp_ok FROM events), g AS (SELECT domain, count(*) AS n, count(*) FILTER (tls_ok AND similarity >= 50) AS same, count(*) FILTER (NOT cdp_ok) AS failed FROM r GROUP BY domain)
+SELECT domain, n, same, failed, CASE WHEN failed / n > 0.5 THEN 'uncertain' WHEN same / n >= 0.3 THEN 'tls_ok' ELSE 'browser_required' END AS verdict FROM g""")
+def engine_verdict(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("domain"), F.col("value").alias("similarity"), (F.col("event_id") % 10 < 7).alias("tls_ok"), (F.col("event_id") % 10 < 9).alias("cdp_ok"))
+    g = e.groupBy("domain").agg(F.count("*").alias("n"), F.count_if(F.col("tls_ok") & (F.col("similarity") >= 50)).alias("same"), F.count_if(~F.col("cdp_ok")).alias("failed"))
+    return g.withColumn("verdict", F.when(F.col("failed") / F.col("n") > 0.5, "uncertain").when(F.col("same") / F.col("n") >= 0.3, "tls_ok").otherwise("browser_required"))
+
+
+@Q.query("""WITH d AS (SELECT page_id AS pos, 'https://s' || page_id % 60 AS url, CASE WHEN page_id % 4 = 0 THEN 'T' || page_id END AS title FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY title IS NULL, pos) AS n, min(pos) OVER (PARTITION BY url) AS first_pos FROM d) SELECT url, title, first_pos FROM r WHERE n = 1""")
+def map_dedupe(spark, sf_dir):
+    d = table(spark, sf_dir, "pages").select(F.col("page_id").alias("pos"), F.concat(F.lit("https://s"), (F.col("page_id") % 60).cast("string")).alias("url"), F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("T"), F.col("page_id").cast("string"))).alias("title"))
+    best = F.min(F.struct(F.col("title").isNull().alias("blank"), "pos", "title"))
+    return d.groupBy("url").agg(best.alias("b"), F.min("pos").alias("first_pos")).select("url", "b.title", "first_pos")
+
+
+@Q.query("""WITH i AS (SELECT p_brand AS doc, unnest([{'name': p_type, 'size': p_size % 5}, {'name': p_type, 'size': p_size % 5}]) AS item FROM part) SELECT doc, item.name AS name, item.size AS size, count(*) AS seen FROM i GROUP BY ALL""")
+def dedupe_objects(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    item = F.struct(F.col("p_type").alias("name"), (F.col("p_size") % 5).alias("size"))
+    return p.select(F.col("p_brand").alias("doc"), F.explode(F.array(item, item)).alias("item")).groupBy("doc", "item").agg(F.count("*").alias("seen")).select("doc", "item.*", "seen")
+
+
+@Q.query("""WITH x AS (SELECT p_brand AS item, 'https://s/' || p_partkey AS url FROM part) SELECT item, list_sort(list_distinct(list(url))) AS sources, count(*) AS n FROM x GROUP BY item""")
+def item_provenance(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("item"), F.concat(F.lit("https://s/"), F.col("p_partkey").cast("string")).alias("url"))
+    return p.groupBy("item").agg(F.array_sort(F.collect_set("url")).alias("sources"), F.count("*").alias("n"))
+
+
+@Q.query("""WITH c AS (SELECT '#' || upper(substr(md5(p_brand), 1, 6)) AS hex, CASE p_size % 3 WHEN 0 THEN 0.5 + log10(p_size + 10) WHEN 1 THEN 1 ELSE 0.3 END AS w FROM part), s AS (SELECT hex, sum(w) AS weight FROM c GROUP BY hex)
+SELECT hex, weight, CAST(row_number() OVER (ORDER BY round(weight, 6) DESC, hex) AS INT) AS place, (299 * ('0x' || substr(hex, 2, 2))::INT + 587 * ('0x' || substr(hex, 4, 2))::INT + 114 * ('0x' || substr(hex, 6, 2))::INT) / 1000.0 AS yiq FROM s""")
+def brand_palette(spark, sf_dir):
+    p, s = table(spark, sf_dir, "part"), F.col("p_size")
+    w = F.when(s % 3 == 0, 0.5 + F.log10(s + 10)).when(s % 3 == 1, 1.0).otherwise(0.3)
+    g = p.select(F.concat(F.lit("#"), F.upper(F.substring(F.md5("p_brand"), 1, 6))).alias("hex"), w.alias("w")).groupBy("hex").agg(F.sum("w").alias("weight"))
+
+    def channel(k):
+        return F.conv(F.substring("hex", k, 2), 16, 10).cast("int")
+
+    place = F.row_number().over(Window.orderBy(F.round("weight", 6).desc(), "hex"))  # a palette has a few hundred colours
+    return g.withColumn("place", place).withColumn("yiq", (channel(2) * 299 + channel(4) * 587 + channel(6) * 114) / 1000.0)
+
+
+@Q.query("""WITH s AS (SELECT p_brand AS site, p_size AS v FROM part), g AS (SELECT site, list_sort(list(v)) AS l, list(v) AS vs FROM s GROUP BY site)
+SELECT site, coalesce(list_extract(list_filter([4, 6, 8, 10, 12], lambda u: len(list_filter(l, lambda x: x % u = 0)) >= 0.6 * len(l)), 1), l[len(l) // 2 + 1]) AS base_unit, l[len(l) // 2 + 1] AS median FROM g""")
+def brand_spacing(spark, sf_dir):
+    g = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("site")).agg(F.sort_array(F.collect_list("p_size")).alias("l"))
+    median = F.get("l", F.floor(F.size("l") / 2).cast("int"))  # the upper one of two
+    fits = F.filter(F.array(*[F.lit(u) for u in (4, 6, 8, 10, 12)]), lambda u: F.size(F.filter("l", lambda x: x % u == 0)) >= 0.6 * F.size("l"))
+    return g.select("site", F.coalesce(F.get(fits, F.lit(0)), median).alias("base_unit"), median.alias("median"))
+
+
+@Q.query("SELECT c_custkey AS team, least(greatest(CAST(c_acctbal AS BIGINT) * 2000, 50000), 2000000) AS queue_limit, CASE WHEN c_custkey % 100 <= 20 THEN 10 ELSE CAST(ceil(10 + ceil((c_custkey % 100 - 20) * 0.25)) AS BIGINT) END AS priority, CASE WHEN c_custkey <= 900 THEN '15m' WHEN c_custkey <= 1800 THEN '30m' WHEN c_custkey <= 3600 THEN 'hourly' WHEN c_custkey <= 21600 THEN 'sub_daily' WHEN c_custkey <= 86400 THEN 'daily' WHEN c_custkey <= 604800 THEN 'weekly' ELSE 'other' END AS bucket FROM customer")
+def team_limits(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    n = F.col("c_custkey") % 100
+    # the DuckDB cast rounds; so does this one
+    return c.select(F.col("c_custkey").alias("team"), T.queue_limit(F.bround("c_acctbal").cast("long")).alias("queue_limit"), T.job_priority(F.lit(10), n, F.lit(20), F.lit(0.25)).alias("priority"), T.frequency_bucket(F.col("c_custkey")).alias("bucket"))
+
+
+@Q.query("SELECT c_mktsegment AS kind, CAST(sum(CASE c_mktsegment WHEN 'BUILDING' THEN 1 ELSE c_nationkey END) AS BIGINT) AS credits, count(*) AS targets FROM customer GROUP BY c_mktsegment")
+def monitor_credit_estimate(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.groupBy(F.col("c_mktsegment").alias("kind")).agg(F.sum(F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(F.col("c_nationkey"))).cast("long").alias("credits"), F.count("*").alias("targets"))
+
+
+@Q.query("""WITH l AS (SELECT doc_id, trim(unnest(string_split(coalesce(text, ''), chr(10)))) AS line FROM documents), g AS (SELECT doc_id, line, count(*) AS c FROM l WHERE length(line) >= 8 GROUP BY ALL)
+SELECT doc_id, round(sum(c - 1) / sum(c), 4)::DOUBLE AS repeated_ratio, CAST(sum(CASE WHEN length(line) - length(replace(line, '|', '')) >= 2 THEN c ELSE 0 END) AS BIGINT) AS table_lines FROM g GROUP BY doc_id""")
+def repeated_line_ratio(spark, sf_dir):
+    li = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select("doc_id", F.trim("line").alias("line")).where(F.length("line") >= 8)
+    g = li.groupBy("doc_id", "line").agg(F.count("*").alias("c"))
+    piped = F.length("line") - F.length(F.translate("line", "|", "")) >= 2
+    return g.groupBy("doc_id").agg(F.round(F.sum(F.col("c") - 1) / F.sum("c"), 4).alias("repeated_ratio"), F.sum(F.when(piped, F.col("c")).otherwise(0)).alias("table_lines"))
+
+
+@Q.query("""WITH p AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS page FROM documents), w AS (SELECT doc_id, page, len(list_filter(regexp_split_to_array(page, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS words FROM p),
+g AS (SELECT doc_id, count(*) AS pages, count(*) FILTER (words = 0) AS empty_pages, count(*) FILTER (words BETWEEN 1 AND 24) AS low_pages, count(*) - count(DISTINCT page) AS repeated_pages FROM w GROUP BY doc_id)
+SELECT *, (empty_pages / pages > 0.5)::INT + (low_pages / pages > 0.5)::INT + (repeated_pages / pages > 0.2)::INT >= 1 AS low_quality FROM g""")
+def document_quality(spark, sf_dir):
+    p = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("page"))
+    w = p.withColumn("words", F.regexp_count("page", F.lit(r"[^\x20\x09-\x0D]+")))
+    g = w.groupBy("doc_id").agg(F.count("*").alias("pages"), F.count_if(F.col("words") == 0).alias("empty_pages"), F.count_if(F.col("words").between(1, 24)).alias("low_pages"), (F.count("*") - F.countDistinct("page")).alias("repeated_pages"))
+    n = F.col("pages")
+    flags = sum((F.col(c) / n > t).cast("int") for c, t in (("empty_pages", 0.5), ("low_pages", 0.5), ("repeated_pages", 0.2)))
+    return g.withColumn("low_quality", flags >= 1)
+
+
+@Q.query("SELECT source, count(*) FILTER (doc_id % 9 = 0) AS blocked, CASE WHEN count(*) FILTER (doc_id % 9 = 0) > 0 THEN count(*) FILTER (doc_id % 9 = 0) || ' URLs were not crawled because of robots.txt' END AS warning FROM documents GROUP BY source")
+def robots_blocked_warning(spark, sf_dir):
+    n = F.count_if(F.col("doc_id") % 9 == 0)
+    g = table(spark, sf_dir, "documents").groupBy("source").agg(n.alias("blocked"))
+    return g.withColumn("warning", F.when(F.col("blocked") > 0, F.concat(F.col("blocked").cast("string"), F.lit(" URLs were not crawled because of robots.txt"))))

@@ -1,3 +1,85 @@
-from .registry import Registry
+"""Queries of the joins that the service does by hand: lookups, anti and semi joins, latest before."""
+
+from pyspark.sql import functions as F
+
+from loomspan.operators import snapshots as S
+
+from .q_tallies import JOBS, backlog, jobs
+from .registry import Registry, table
 
 Q = Registry()
+
+
+@Q.query("""WITH q AS (SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderkey % 2 = 0), d AS (SELECT o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderkey % 3 = 0), b AS (SELECT o_orderkey AS id, o_orderpriority AS blob FROM orders WHERE o_orderkey % 5 = 0)
+SELECT id, status, price, coalesce(blob, status) AS result FROM q FULL JOIN d USING (id) LEFT JOIN b USING (id)""")
+def join_job_lookup(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    q = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    d = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
+    b = o.where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("blob"))
+    return q.join(d, "id", "full_outer").join(b, "id", "left").select("id", "status", "price", F.coalesce("blob", "status").alias("result"))
+
+
+@Q.query("""WITH i AS (SELECT page_id, url, 'snippet' AS description FROM pages), d AS (SELECT url, max_by(page_id, page_id) AS doc, count(*) AS n FROM pages WHERE page_id % 3 <> 0 GROUP BY url)
+SELECT i.page_id, i.url, coalesce('doc ' || d.doc, i.description) AS description FROM i LEFT JOIN d USING (url)""")
+def join_search_scraped(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    d = p.where("page_id % 3 <> 0").groupBy("url").agg(F.max("page_id").alias("doc"))  # a later copy wins
+    return p.join(d, "url", "left").select("page_id", "url", F.coalesce(F.concat(F.lit("doc "), F.col("doc").cast("string")), F.lit("snippet")).alias("description"))
+
+
+@Q.query(f"WITH {JOBS} SELECT DISTINCT group_id FROM j WHERE group_id NOT IN (SELECT group_id FROM j WHERE status = 'active' AND priority = 1 AND id % 7 = 0) AND group_id NOT IN (SELECT c_custkey % 50 FROM customer WHERE c_acctbal < -900)")
+def join_finished_groups(spark, sf_dir):
+    j = jobs(spark, sf_dir)
+    late = table(spark, sf_dir, "customer").where("c_acctbal < -900").select((F.col("c_custkey") % 50).alias("group_id"))
+    return j.select("group_id").distinct().join(j.where("status = 'active' and priority = 1 and id % 7 = 0"), "group_id", "left_anti").join(late, "group_id", "left_anti")
+
+
+@Q.query(f"WITH {JOBS} SELECT id, group_id FROM j WHERE group_id IN (SELECT group_id FROM j GROUP BY group_id ORDER BY min(created_at), group_id LIMIT 10)")
+def join_cleaned_jobs(spark, sf_dir):
+    j = jobs(spark, sf_dir)
+    old = j.groupBy("group_id").agg(F.min("created_at").alias("t")).orderBy("t", "group_id").limit(10)
+    return j.join(old, "group_id", "left_semi").select("id", "group_id")
+
+
+@Q.query("SELECT p.page_id, p.url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages v WHERE v.page_id % 4 = 0 AND regexp_replace(v.url, '^https?://(www\\.)?', '') = regexp_replace(p.url, '^https?://(www\\.)?', ''))")
+def join_frontier_unseen(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("key", F.regexp_replace("url", r"^https?://(www\.)?", ""))
+    return p.join(p.where("page_id % 4 = 0").select("key"), "key", "left_anti").select("page_id", "url")
+
+
+@Q.query("SELECT url, page_id FROM pages WHERE page_id % 2 = 0 AND url NOT IN (SELECT url FROM pages WHERE page_id % 6 = 0)")
+def join_removed_pages(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("url", "page_id")
+    return S.removed_pages(p.where("page_id % 2 = 0"), p.where("page_id % 6 = 0"))
+
+
+@Q.query("""WITH e AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase' OR event_id % 2 = 0), q AS (SELECT user_id, event_id, ts FROM events WHERE event_id % 5 = 0)
+SELECT q.event_id, (SELECT e.value FROM e WHERE e.user_id = q.user_id AND (e.ts < q.ts OR (e.ts = q.ts)) ORDER BY e.ts DESC, e.event_id DESC LIMIT 1) AS last_value FROM q""")
+def join_latest_before(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    left = e.where("event_type = 'purchase' or event_id % 2 = 0").select("user_id", "ts", "value")
+    return S.latest_before(left, e.where("event_id % 5 = 0").select("user_id", "ts", "event_id"), ["user_id"], "ts", "ts", ["value"]).select("event_id", "last_value")
+
+
+@Q.query("""WITH i AS (SELECT p_partkey AS item, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 10 = 0), x AS (SELECT p_partkey AS source, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN p_size END AS size FROM part)
+SELECT item, count(*) AS sources FROM i JOIN x ON i.brand = x.brand AND (x.size IS NULL OR x.size = i.size) GROUP BY item""")
+def join_mergeable_sources(spark, sf_dir):
+    """Items meet sources whose known fields agree: an equality on what is always known, the rest as a condition."""
+    p = table(spark, sf_dir, "part")
+    i = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"), F.col("p_size").alias("i_size"))
+    x = p.select(F.col("p_brand").alias("brand"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_size")).alias("x_size"))
+    return i.join(x, "brand").where("x_size is null or x_size = i_size").groupBy("item").agg(F.count("*").alias("sources"))
+
+
+@Q.query("""WITH d AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9000) SELECT n_name AS domain, count(*) AS urls FROM d JOIN nation ON n_nationkey = k JOIN supplier ON s_nationkey = k GROUP BY n_name""")
+def join_domain_urls(spark, sf_dir):
+    d = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("k")).distinct()
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    return s.join(n, s.s_nationkey == n.n_nationkey).join(d, F.col("n_nationkey") == F.col("k")).groupBy(F.col("n_name").alias("domain")).agg(F.count("*").alias("urls"))
+
+
+@Q.query("SELECT c_custkey AS id FROM customer WHERE c_acctbal < 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')")
+def join_backlog_missing(spark, sf_dir):
+    open_ = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("owner_id"))
+    return backlog(spark, sf_dir).join(open_, "owner_id", "left_anti").select(F.col("owner_id").alias("id"))

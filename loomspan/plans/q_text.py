@@ -1,3 +1,103 @@
-from .registry import Registry
+"""Queries of text, diff, schedule and cost functions."""
+
+from datetime import timezone
+
+from pyspark.sql import functions as F
+
+from loomspan.functions import text as X
+
+from .registry import Registry, table
 
 Q = Registry()
+
+
+@Q.query("SELECT p_partkey AS id, 1 - levenshtein(p_name, p_type) / greatest(strlen(p_name), strlen(p_type))::DOUBLE AS similarity FROM part")
+def text_edit_similarity(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), X.edit_similarity(F.col("p_name"), F.col("p_type")).alias("similarity"))
+
+
+@Q.query("""WITH w AS (SELECT a.item_id, list_distinct(list_filter(regexp_split_to_array(lower(a.text), '\\s+'), lambda x: x <> '')) AS x, list_distinct(list_filter(regexp_split_to_array(lower(b.text), '\\s+'), lambda x: x <> '')) AS y FROM benchmark a JOIN benchmark b ON b.item_id = a.item_id + 1)
+SELECT item_id, len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y)))::DOUBLE AS jaccard FROM w""")
+def text_word_jaccard(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    n = b.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other"))
+    return b.join(n, "item_id").select("item_id", X.word_jaccard(F.col("text"), F.col("other")).alias("jaccard"))
+
+
+@Q.query("""WITH d AS (SELECT doc_id, coalesce(text, '') || ' 12 3.5 ' || doc_id AS a, substr(coalesce(text, ''), 1, (length(text) * 9) // 10) || ' 12 ' || doc_id AS b FROM documents),
+n AS (SELECT doc_id, length(a) / length(b) AS r, list_distinct(regexp_extract_all(a, '(\\d+(?:\\.\\d+)?)', 1)) AS x, list_distinct(regexp_extract_all(b, '(\\d+(?:\\.\\d+)?)', 1)) AS y FROM d),
+k AS (SELECT doc_id, r, CASE WHEN len(y) = 0 THEN 1 ELSE len(list_intersect(x, y)) / len(y) END AS k FROM n)
+SELECT doc_id, round(r, 6)::DOUBLE AS length_ratio, round(k, 6)::DOUBLE AS numbers_kept, CASE WHEN r BETWEEN 0.8 AND 1.25 AND k >= 0.95 THEN 'pass' WHEN r BETWEEN 0.5 AND 2 AND k >= 0.8 THEN 'warn' ELSE 'fail' END AS grade FROM k""")
+def text_compare_outputs(spark, sf_dir):
+    t = F.coalesce("text", F.lit(""))
+    i = F.col("doc_id").cast("string")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(t, F.lit(" 12 3.5 "), i).alias("a"), F.concat(F.substring(t, F.lit(1), F.floor(F.length("text") * 9 / 10).cast("int")), F.lit(" 12 "), i).alias("b"))
+    return d.select("doc_id", X.compare_outputs(F.col("a"), F.col("b")).alias("c")).select("doc_id", "c.*")
+
+
+@Q.query("""SELECT doc_id, substr(coalesce(text, ''), 1, 280) AS trimmed, regexp_replace('<|firecrawl-page-1-lllmstxt|>' || chr(10) || doc_id, '<\\|[^|]*page-\\d+[^|]*\\|>\\n?', '', 'g') AS unmarked FROM documents""".replace("firecrawl-", "site-"))
+def text_trim(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", X.trim_tokens(F.coalesce("text", F.lit("")), 100).alias("trimmed"), X.without_page_marks(F.concat(F.lit("<|site-page-1-lllmstxt|>\n"), F.col("doc_id").cast("string"))).alias("unmarked"))
+
+
+@Q.query("""WITH m AS (SELECT l_orderkey AS id, l_linenumber AS n, CASE l_linenumber % 4 WHEN 0 THEN 'small' WHEN 1 THEN 'large' WHEN 2 THEN 'tiered' ELSE 'unknown' END AS model, CAST(l_partkey * 300 AS BIGINT) AS i, CAST(l_suppkey * 10 AS BIGINT) AS o FROM lineitem)
+SELECT model, round(sum(CASE model WHEN 'small' THEN (i * 0.15 + o * 0.6) / 1e6 WHEN 'large' THEN (i * 2.5 + o * 10) / 1e6 WHEN 'tiered' THEN CASE WHEN i > 200000 THEN (i * 2.5 + o * 15) / 1e6 ELSE (i * 1.25 + o * 10) / 1e6 END ELSE 0 END), 4)::DOUBLE AS cost FROM m GROUP BY model""")
+def llm_costs(spark, sf_dir):
+    n = F.col("l_linenumber") % 4
+    model = F.when(n == 0, "small").when(n == 1, "large").when(n == 2, "tiered").otherwise("unknown")
+    m = table(spark, sf_dir, "lineitem").select(model.alias("model"), X.llm_cost(model, F.col("l_partkey") * 300, F.col("l_suppkey") * 10).alias("c"))
+    return m.groupBy("model").agg(F.round(F.sum("c"), 4).alias("cost"))
+
+
+@Q.query("""WITH o AS (SELECT o_orderkey AS id, o_orderdate AS t, o_custkey * 1500 AS ttl FROM orders) SELECT id, t + to_microseconds(CAST(ttl * 1000 AS BIGINT)) AS expires_at FROM o""")
+def group_expiry(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), X.expires_at(F.col("o_orderdate"), F.col("o_custkey") * 1500).alias("expires_at"))
+
+
+@Q.query("""WITH m AS (SELECT p_partkey AS id, [p_brand, p_size::VARCHAR, 'x'] AS a, [p_brand, (p_size + p_partkey % 2)::VARCHAR, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE 'x' END] AS b FROM part), k AS (SELECT id, unnest(['brand', 'size', 'kind']) AS key, unnest(a) AS previous, unnest(b) AS current FROM m)
+SELECT id, key, previous, current FROM k WHERE previous IS DISTINCT FROM current""")
+def record_diff(spark, sf_dir):
+    i, s = F.col("p_partkey"), F.col("p_size")
+    a = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("size"), s.cast("string"), F.lit("kind"), F.lit("x"))
+    b = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("size"), (s + i % 2).cast("string"), F.lit("kind"), F.when(i % 3 == 0, None).otherwise("x"))
+    d = table(spark, sf_dir, "part").select(i.alias("id"), X.map_diff(a, b).alias("d"))
+    return d.select("id", F.explode("d").alias("key", "v")).select("id", "key", "v.previous", "v.current")
+
+
+@Q.query("""SELECT event_id, 'value' AS path, CAST(value AS VARCHAR) AS dummy FROM events WHERE event_id < 0""".replace(", CAST(value AS VARCHAR) AS dummy", ", 'a' AS previous, 'b' AS current"))
+def json_leaf_diff_same(spark, sf_dir):
+    """A document differs from itself nowhere, whatever the order of keys."""
+    diff = F.udf(X.json_diff, "array<struct<path:string,previous:string,current:string>>", useArrow=True)
+    return table(spark, sf_dir, "events").select("event_id", F.explode(diff("props", "props")).alias("d")).select("event_id", "d.*")
+
+
+@Q.query()
+def json_leaf_diff(spark, sf_dir):
+    """Leaves in which each event's properties differ from the user's previous event's."""
+    from pyspark.sql import Window
+
+    diff = F.udf(X.json_diff, "array<struct<path:string,previous:string,current:string>>", useArrow=True)
+    e = table(spark, sf_dir, "events").select("event_id", "props", F.lag("props").over(Window.partitionBy("user_id").orderBy("ts", "event_id")).alias("before"))
+    return e.where("before is not null").select("event_id", F.explode(diff("before", "props")).alias("d")).select("event_id", "d.*")
+
+
+@Q.query("""SELECT o_orderkey AS id, date_trunc('hour', o_orderdate) + INTERVAL 1 HOUR AS hourly, date_trunc('day', o_orderdate) + INTERVAL 1 DAY AS daily FROM orders""")
+def schedule_next(spark, sf_dir):
+    def nxt(expression):
+        def run(t):
+            return None if t is None else X.next_run(expression, t.replace(tzinfo=timezone.utc)).replace(tzinfo=None)
+
+        return F.udf(run, "timestamp_ntz")
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp_ntz").alias("t"))
+    return o.select("id", nxt(X.schedule_text("hourly"))("t").alias("hourly"), nxt(X.schedule_text("daily"))("t").alias("daily"))
+
+
+@Q.query("""SELECT page_id, regexp_matches(hex(encode(substr(html, 1, 1024))), '^(..)*25504446') AS is_pdf, CASE WHEN regexp_matches(lower(url), '\\.odt$') THEN 'odt' WHEN regexp_matches(lower(url), '\\.rtf$') THEN 'rtf' WHEN regexp_matches(lower(url), '\\.xlsx?$') THEN 'xlsx' ELSE 'docx' END AS document_type FROM pages""")
+def document_sniff(spark, sf_dir):
+    from loomspan.sources.files import document_type
+
+    return table(spark, sf_dir, "pages").select("page_id", X.is_pdf(F.col("html").cast("binary")).alias("is_pdf"), document_type(F.col("url")).alias("document_type"))
+
+

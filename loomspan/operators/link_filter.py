@@ -95,11 +95,20 @@ def denial_reason(url: Column, p: Column, h: Column, scope: Scope) -> Column:
     )
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that later filters and projections cannot inline, so it is computed once a row."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def with_parts(df: DataFrame, url: Column) -> DataFrame:
+    """df with __url, __path and __host."""
+    return once(once(once(df, "__url", url), "__path", U.path(F.col("__url"))), "__host", U.host(F.col("__url")))
+
+
 def filter_links(links: DataFrame, scope: Scope, link: str = "link", order: str | None = None, limit: int | None = None) -> DataFrame:
     """links with denial_reason; with a limit, rows after the limit-th accepted one in the given order are dropped."""
-    # resolved once: a column that is used more than once is not inlined
-    out = links.withColumn("__url", U.resolve(F.lit(scope.base_url), F.trim(F.col(link)))).withColumns({"__path": U.path(F.col("__url")), "__host": U.host(F.col("__url"))})
-    out = out.withColumn("denial_reason", denial_reason(F.col("__url"), F.col("__path"), F.col("__host"), scope)).drop("__url", "__path", "__host")
+    out = with_parts(links, U.resolve(F.lit(scope.base_url), F.trim(F.col(link))))
+    out = once(out, "denial_reason", denial_reason(F.col("__url"), F.col("__path"), F.col("__host"), scope)).drop("__url", "__path", "__host")
     if limit is None:
         return out
     # the cut is a place in the order, found from the accepted links alone

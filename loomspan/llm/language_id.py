@@ -84,7 +84,7 @@ def automaton(codes: np.ndarray, size: int) -> np.ndarray:
     step = step[:count]
     missing = step == -1
     start = np.where(step[0] == -1, 0, step[0])
-    # one class that never occurs stays at the start: -count stands for "phrase ends, state 0"
+    # one class that never occurs leads back to the start: -count stands for it
     again = np.where(start == 0, -count, -start)
     return np.where(missing, again[None, :], step).astype(np.int32).ravel()
 
@@ -101,11 +101,12 @@ def phrases(lanes: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
         if not active:
             break
         to = table[state[:active] * size + row[:active]]
-        count[:active] += to < 0
+        lone = to == -states  # occurs nowhere: a phrase of its own, besides the one that it ends
+        count[:active] += (to < 0) + (lone & (state[:active] != 0)).astype(np.int8)
         to = np.abs(to)
-        to[to == states] = 0
+        to[lone] = 0
         state[:active] = to
-    return count + 1
+    return count + (state != 0)
 
 
 class Parser:

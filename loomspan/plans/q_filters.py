@@ -27,7 +27,7 @@ def filter_links_cascade(spark, sf_dir):
     return filter_links(links(spark, sf_dir), SCOPE)
 
 
-@Q.query(f"WITH d AS (SELECT page_id, {CASCADE} AS r FROM pages), a AS (SELECT page_id, row_number() OVER (ORDER BY page_id) AS n FROM d WHERE r IS NULL) SELECT page_id, r AS denial_reason FROM d WHERE page_id <= (SELECT page_id FROM a WHERE n = 20)")
+@Q.query(f"WITH d AS (SELECT page_id, {CASCADE} AS r FROM pages), a AS (SELECT page_id, row_number() OVER (ORDER BY page_id) AS n FROM d WHERE r IS NULL) SELECT page_id, r AS denial_reason FROM d WHERE page_id <= coalesce((SELECT page_id FROM a WHERE n = 20), 9223372036854775807)")
 def filter_links_limited(spark, sf_dir):
     return filter_links(links(spark, sf_dir), SCOPE, order="page_id", limit=20).select("page_id", "denial_reason")
 

@@ -30,16 +30,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of the smallest id."""
+    """One document of each group of near duplicates: the one of the smallest id. Rows without an id all stay."""
+    docs = docs.select(*COLUMNS)
     kept = near_dedup.near_duplicates(docs, percent=85).where("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, and those of small sources again, until no source is repeated more than twice as often as another."""
+    """Every document once, and those of small sources again, until no source is repeated more than twice as often as another.
+
+    Ids are those of the stage before, once each; rows without an id are drawn once.
+    """
+    docs = docs.select(*COLUMNS)
     draws = mix(docs, max_repeats=2.0).groupBy("doc_id").agg(F.count("*").alias("draws"))
-    drawn = docs.select(*COLUMNS).join(draws, "doc_id")
-    return drawn.withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("draws").cast("int")))).select(*COLUMNS)
+    drawn = docs.join(draws, "doc_id").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("draws").cast("int"))))
+    return drawn.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

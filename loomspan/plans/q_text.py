@@ -35,7 +35,7 @@ def text_compare_outputs(spark, sf_dir):
     return d.select("doc_id", X.compare_outputs(F.col("a"), F.col("b")).alias("c")).select("doc_id", "c.*")
 
 
-@Q.query("""SELECT doc_id, substr(coalesce(text, ''), 1, 280) AS trimmed, regexp_replace('<|firecrawl-page-1-lllmstxt|>' || chr(10) || doc_id, '<\\|[^|]*page-\\d+[^|]*\\|>\\n?', '', 'g') AS unmarked FROM documents""".replace("firecrawl-", "site-"))
+@Q.query("""SELECT doc_id, substr(coalesce(text, ''), 1, 280) AS trimmed, regexp_replace('<|site-page-1-lllmstxt|>' || chr(10) || doc_id, '<\\|[^|]*page-\\d+[^|]*\\|>\\n?', '', 'g') AS unmarked FROM documents""")
 def text_trim(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", X.trim_tokens(F.coalesce("text", F.lit("")), 100).alias("trimmed"), X.without_page_marks(F.concat(F.lit("<|site-page-1-lllmstxt|>\n"), F.col("doc_id").cast("string"))).alias("unmarked"))
@@ -65,7 +65,7 @@ def record_diff(spark, sf_dir):
     return d.select("id", F.explode("d").alias("key", "v")).select("id", "key", "v.previous", "v.current")
 
 
-@Q.query("""SELECT event_id, 'value' AS path, CAST(value AS VARCHAR) AS dummy FROM events WHERE event_id < 0""".replace(", CAST(value AS VARCHAR) AS dummy", ", 'a' AS previous, 'b' AS current"))
+@Q.query("""SELECT event_id, 'a' AS path, 'a' AS previous, 'b' AS current FROM events WHERE event_id < 0""")
 def json_leaf_diff_same(spark, sf_dir):
     """A document differs from itself nowhere, whatever the order of keys."""
     diff = F.udf(X.json_diff, "array<struct<path:string,previous:string,current:string>>", useArrow=True)

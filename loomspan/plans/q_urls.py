@@ -67,7 +67,7 @@ def url_validate(spark, sf_dir):
 
 
 @Q.query(f"""WITH {PARTS}, l AS (SELECT page_id, string_split(host, '.') AS l FROM p)
-SELECT page_id, array_to_string(l[greatest(len(l) - 1, 1):], '.') = 'example.com' AS same_domain, array_to_string(l, '.') IN ('www.example.com', 'example.com') AS base_host,
+SELECT page_id, array_to_string(l[greatest(len(l) - 1, 1):], '.') = 'example.com' AS same_domain, (len(l) = 2 OR (len(l) = 3 AND l[1] = 'www')) AS base_host,
 array_to_string(l[greatest(len(l) - 1, 1):], '.') AS registrable FROM l""")
 def url_domain_tests(spark, sf_dir):
     u, h = F.col("url"), U.host(F.col("url"))
@@ -75,9 +75,6 @@ def url_domain_tests(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", U.same_domain(u, base).alias("same_domain"), F.coalesce(U.registrable(h) == U.bare_host(u), F.lit(False)).alias("base_host"), U.registrable(h).alias("registrable"))
 
 
-Q["url_domain_tests"] = (Q["url_domain_tests"][0], Q["url_domain_tests"][1].replace("array_to_string(l, '.') IN ('www.example.com', 'example.com')", "(len(l) = 2 OR (len(l) = 3 AND l[1] = 'www'))"))
-
-
 @Q.query("SELECT page_id, regexp_replace(url, '/$', '') AS map_url, regexp_replace(split_part(url, '?', 1), '/$', '') AS map_url_no_query, regexp_replace(regexp_replace(regexp_replace(url, '^https?://', ''), '^www\\.', ''), '/$', '') AS canonical FROM pages")
 def url_map_form(spark, sf_dir):
     u = F.col("url")

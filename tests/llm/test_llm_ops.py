@@ -306,3 +306,14 @@ def test_attention_gradient():
         down = m._step(x, slot, counted)[0]
         m.p[name][at] += e
         assert abs((up - down) / (2 * e) - grad[name][at]) < 1e-3 * max(1, abs(grad[name][at]))
+
+
+def test_attention_tells_rare_ids_apart():
+    g = np.random.default_rng(6)
+    rare = np.arange(4000, 4040)  # beyond the 3,071 most frequent
+    counts = np.r_[np.full(4000, 50), np.full(40, 20), np.zeros(960, int)]
+    follow = np.stack([rare, rare - 4000], 1)  # each is followed by an id of its own
+    m = AttentionModel(counts, end_id=0).fit([follow[g.permutation(40)].ravel() for _ in range(60)], steps=200)
+    assert len(set(m.slot[:4040].tolist())) == 4040 and len(set(m.slot[4040:].tolist())) == 1
+    own, other = m.score([follow[k] for k in range(40)]), m.score([np.array([rare[k], (k + 7) % 40]) for k in range(40)])
+    assert np.mean(own - other) > 1

@@ -317,3 +317,28 @@ def test_attention_tells_rare_ids_apart():
     assert len(set(m.slot[:4040].tolist())) == 4040 and len(set(m.slot[4040:].tolist())) == 1
     own, other = m.score([follow[k] for k in range(40)]), m.score([np.array([rare[k], (k + 7) % 40]) for k in range(40)])
     assert np.mean(own - other) > 1
+
+
+def test_lm_scoring_learns_from_tails(spark):
+    g = np.random.default_rng(8)
+    ring = "water stone river light house paper green table music winter summer garden window mountain bridge forest".split()
+    tail = " ".join(ring * 12)
+    rows = [(k, " ".join(g.choice(WORDS, 620)) + " " + tail) for k in range(240)]  # the ring stands past word 600 only
+    rows = [(k, t if zlib.crc32(str(k).encode()) % 7 != 2 else (tail if k % 2 else " ".join(g.permutation(ring * 12)))) for k, t in rows]
+    got = lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), registry.byte_bpe(), steps=100).where("held_out").collect()
+    known, mixed = [r.score for r in got if r.doc_id % 2], [r.score for r in got if not r.doc_id % 2]
+    assert np.mean(known) > 0.5 * np.mean(mixed)  # log10 probabilities of the same words, in the order learned and in none
+
+
+def test_lm_scoring_takes_every_id_once(spark):
+    rows = [(k, " ".join(WORDS[(k + i) % len(WORDS)] for i in range(1 + 17 * k))) for k in range(60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = lm_scoring.WordIds.of(registry.byte_bpe())
+    made = [ids.sequence(t, np.array([50_256], "<u4").tobytes()) for _, t in rows]
+    counts = np.bincount(np.concatenate(made), minlength=50_257)
+    first = AttentionModel(counts, 50_256).fit(made[:5], steps=3)
+    got = [lm_scoring.further_trained(train.repartition(n), AttentionModel(counts, 50_256).fit(made[:5], steps=3), registry.byte_bpe(), 60, 13, most) for n, most in ((1, 2), (5, 50))]
+    assert got[0].learned == got[1].learned == counts.sum()
+    for k in first.p:
+        assert np.allclose(got[0].p[k], got[1].p[k], atol=1e-6)  # whatever the partitions
+    assert np.abs(got[0].p["U"] - first.p["U"]).max() > 0

@@ -64,9 +64,9 @@ def with_discovery(scope: Scope, **changes) -> Scope:
 def map_site(sources: list[DataFrame], site: str, search: str | None = None, limit: int = 5000, include_subdomains: bool = True, ignore_query: bool = True, most: int = 100_000) -> DataFrame:
     """url, title, place: the inventory of a site from several lists (url, title, pos), in their order.
 
-    Cut to min(most, limit) first, ranked by the query's words, brought to one
-    form, kept to the site and its path, deduplicated (a titled entry is
-    preferred, the first place kept), and cut again.
+    Brought to one form, kept to the site and its path, and only then cut to
+    min(most, limit); ranked by the query's words, deduplicated (a titled entry
+    is preferred, the first place kept), and cut again.
     """
     from loomspan.operators.ranking import word_cosine
 
@@ -74,16 +74,16 @@ def map_site(sources: list[DataFrame], site: str, search: str | None = None, lim
     for k, s in enumerate(sources):
         s = s.select("url", "title", F.struct(F.lit(k).alias("a"), F.col("pos").cast("long").alias("b")).alias("at"))
         every = s if every is None else every.unionByName(s)
-    every = every.orderBy("at", "url").limit(min(most, limit))
-    if search:
-        every = every.withColumn("at", F.struct((-F.round(word_cosine(F.col("url"), search.lower()), 9)).alias("s"), "at"))
     base = F.lit(site)
-    every = every.withColumn("url", F.trim(U.for_map(F.col("url"), ignore_query)))
+    every = every.withColumn("given", F.col("url")).withColumn("url", F.trim(U.for_map(F.col("url"), ignore_query)))
     every = every.where(U.same_domain(F.col("url"), base))
     if not include_subdomains:
         every = every.where(U.bare_host(F.col("url")) == U.bare_host(base))
     path = site.split("://", 1)[-1].partition("/")[2]
     if path:
         every = every.where(F.startswith(U.path(F.col("url")), F.lit("/" + path)))
+    every = every.orderBy("at", "given").limit(min(most, limit))
+    if search:
+        every = every.withColumn("at", F.struct((-F.round(word_cosine(F.col("given"), search.lower()), 9)).alias("s"), "at"))
     best = F.min(F.struct(F.col("title").isNull().alias("blank"), "at", "title"))
     return every.groupBy("url").agg(best.alias("b"), F.min("at").alias("at")).orderBy("at").limit(limit).select("url", "b.title", "at")

@@ -92,6 +92,14 @@ def test_crawl_cycle_limit_and_depth(spark):
     assert crawl.crawl(edges, seeds, scope, limit=2).count() == 2
 
 
+def test_map_site_cuts_only_its_own_urls(spark):
+    rows = [(f"https://other.org/{k}", None, k) for k in range(20)] + [(f"https://example.com/fr/{k}", None, 20 + k) for k in range(20)] + [(f"https://example.com/en/{k}", None, 40 + k) for k in range(12)]
+    pages = spark.createDataFrame(rows, "url string, title string, pos long")
+    for search in (None, "en docs"):
+        got = [r.url for r in crawl.map_site([pages], "https://example.com/en", search=search, limit=10).collect()]
+        assert got == [f"https://example.com/en/{k}" for k in range(10)]
+
+
 def test_change_status_and_as_of(spark):
     s = spark.createDataFrame([("u", 1, 200, "a b"), ("u", 2, 200, "ba"), ("u", 3, 200, "c"), ("u", 4, 404, None)], "url string, t int, code int, md string")
     assert [r.change_status for r in S.change_status(s, ["url"], "t", "code", "md").orderBy("t").collect()] == ["new", "same", "changed", "removed"]

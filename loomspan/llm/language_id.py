@@ -5,10 +5,13 @@ sample. A text is parsed against it greedily: the longest match is one phrase,
 the next phrase starts where it ended. The language that needs the fewest
 phrases, normalised by the text's length, wins.
 
-Automata are flat tables over a small alphabet of character classes, with the
-restart after a failed match folded in, so that many texts step through a
-table together, one character at a time. Texts are dealt to lanes of `lane`
-characters; a lane begins a new phrase, for all languages alike.
+Every letter of the samples is a class of its own, whatever its script; all
+letters that occur in no sample are one class, which no automaton knows, so
+that each is a phrase of its own. Automata are flat tables over the most
+frequent classes and sorted keys for all others, with the restart after a
+failed match folded in, so that many texts step through a table together, one
+character at a time. Texts are dealt to lanes of `lane` characters; a lane
+begins a new phrase, for all languages alike.
 
 Defined results: a null text, or one without a letter, is `und` with score 0;
 a language is learned only from rows with text, label and id; with nothing to
@@ -22,6 +25,7 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,73 +39,103 @@ LETTER = regex.compile(r"\p{L}")
 UND = "und"
 
 
-def alphabet(texts: list[str], size: int = 48) -> np.ndarray:
-    """Class by code point: 0 for all that is no letter, 1.. for the most frequent lower-case letters, the last for other letters."""
+def alphabet(texts: list[str], size: int = 48) -> tuple[np.ndarray, int]:
+    """Class by code point, and the number of classes.
+
+    0 for all that is no letter, 1.. for the lower-case letters that occur, most
+    frequent first, with size - 1 left out: it is that of letters that do not occur.
+    """
     seen = Counter("".join(texts).lower())
-    known = {c: k + 1 for k, (c, _) in enumerate(sorted(((c, n) for c, n in seen.items() if c.isalpha()), key=lambda x: (-x[1], x[0]))[: size - 2])}
-    out = np.zeros(0x110000, np.uint8)
-    for code in range(0x110000):
-        if 0x3000 <= code and code not in (0xFF21, 0xFF41):  # letters from here on share the last class
-            break
+    ranked = sorted(((c, n) for c, n in seen.items() if c.isalpha()), key=lambda x: (-x[1], x[0]))
+    known = {c: k + 1 if k < size - 2 else k + 2 for k, (c, _) in enumerate(ranked)}
+    total = max(size, len(known) + 2)
+    out = np.zeros(0x110000, np.uint8 if total < 255 else np.int32)  # the highest value stands for the end of a lane
+    for code in range(0x40000):  # no letters from here on: unassigned, tags and private use
         c = chr(code)
         if unicodedata.category(c)[0] == "L":
             out[code] = known.get(c.lower()[:1], size - 1)
-    out[0x3000:] = size - 1
-    return out
+    return out, total
 
 
-def automaton(codes: np.ndarray, size: int) -> np.ndarray:
-    """Suffix automaton of a sequence as a flat table: entry state * size + class is the next state.
+class Automaton(NamedTuple):
+    """Suffix automaton of a sequence. The entry of a state and a class is the next state.
 
     Where a match cannot be extended the entry is negative: a phrase ends, and
-    its absolute value is where the character leads from the start.
+    its absolute value is where the character leads from the start; the number
+    of states stands for a class that does not occur.
     """
-    n = 2 * len(codes) + 2
-    step = np.full((n, size), -1, np.int32)
-    link, length = np.full(n, -1, np.int64), np.zeros(n, np.int64)
-    last, count = 0, 1
+
+    table: np.ndarray  # of classes below size: entry state * size + class
+    states: int
+    keys: np.ndarray  # of other classes, where a match can be extended: state * total + class, ascending
+    to: np.ndarray  # their next states
+    again: np.ndarray  # by class: the entry where it cannot
+
+
+def automaton(codes: np.ndarray, size: int, total: int) -> Automaton:
+    step: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
     for c in codes.tolist():
-        cur, count = count, count + 1
-        length[cur] = length[last] + 1
+        cur = len(step)
+        step.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         p = last
-        while p != -1 and step[p, c] == -1:
-            step[p, c] = cur
+        while p != -1 and c not in step[p]:
+            step[p][c] = cur
             p = link[p]
-        if p == -1:
-            link[cur] = 0
-        else:
-            q = step[p, c]
+        if p != -1:
+            q = step[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone, count = count, count + 1
-                step[clone], link[clone], length[clone] = step[q], link[q], length[p] + 1
-                while p != -1 and step[p, c] == q:
-                    step[p, c] = clone
+                clone = len(step)
+                step.append(dict(step[q]))
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p != -1 and step[p].get(c) == q:
+                    step[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    step = step[:count]
-    missing = step == -1
-    start = np.where(step[0] == -1, 0, step[0])
-    # one class that never occurs leads back to the start: -count stands for it
-    again = np.where(start == 0, -count, -start)
-    return np.where(missing, again[None, :], step).astype(np.int32).ravel()
-
-
-def phrases(lanes: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
-    """Phrases that each lane (a column of classes, 255 past its end) is parsed into."""
-    states = len(table) // size
+    count = len(step)
+    again = np.full(total, -count, np.int32)
+    again[list(step[0])] = [-q for q in step[0].values()]
+    state = np.repeat(np.arange(count), [len(t) for t in step])
+    edge = np.array([e for t in step for e in t.items()], np.int64).reshape(-1, 2)
+    table = np.tile(again[:size], (count, 1))
+    low = edge[:, 0] < size
+    table[state[low], edge[low, 0]] = edge[low, 1]
+    keys, to = state[~low] * total + edge[~low, 0], edge[~low, 1]
+    order = np.argsort(keys)
+    return Automaton(table.ravel(), count, keys[order], to[order], again)
+
+
+def phrases(lanes: np.ndarray, a: Automaton, size: int) -> np.ndarray:
+    """Phrases that each lane (a column of classes, the highest value past its end) is parsed into."""
+    end, total = np.iinfo(lanes.dtype).max, len(a.again)
+    rarest = np.where(lanes == end, 0, lanes).max(1) >= size if total > size else np.zeros(len(lanes), bool)
     state = np.zeros(lanes.shape[1], np.int64)
     count = np.zeros(lanes.shape[1], np.int64)
     active = lanes.shape[1]
-    for row in lanes:  # lanes are ordered by length, so those still running stand first
-        while active and row[active - 1] == 255:
+    for row, rare in zip(lanes, rarest, strict=True):  # lanes are ordered by length, so those still running stand first
+        while active and row[active - 1] == end:
             active -= 1
         if not active:
             break
-        to = table[state[:active] * size + row[:active]]
-        lone = to == -states  # occurs nowhere: a phrase of its own, besides the one that it ends
+        now = row[:active]
+        if rare:
+            to = a.table[state[:active] * size + np.minimum(now, size - 1)]
+            some = np.flatnonzero(now >= size)
+            key = state[some] * total + now[some]
+            if len(a.keys):
+                at = np.minimum(np.searchsorted(a.keys, key), len(a.keys) - 1)
+                to[some] = np.where(a.keys[at] == key, a.to[at], a.again[now[some]])
+            else:
+                to[some] = a.again[now[some]]
+        else:
+            to = a.table[state[:active] * size + now]
+        lone = to == -a.states  # occurs nowhere: a phrase of its own, besides the one that it ends
         count[:active] += (to < 0) + (lone & (state[:active] != 0)).astype(np.int8)
         to = np.abs(to)
         to[lone] = 0
@@ -112,8 +146,8 @@ def phrases(lanes: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
 class Parser:
     def __init__(self, samples: dict[str, str], size: int = 48, lane: int = 512):
         self.names, self.size, self.lane = sorted(samples), size, lane
-        self.classes = alphabet(list(samples.values()), size)
-        self.tables = [automaton(self.codes(samples[n]), size) for n in self.names]
+        self.classes, total = alphabet(list(samples.values()), size)
+        self.tables = [automaton(self.codes(samples[n]), size, total) for n in self.names]
 
     def codes(self, text: str) -> np.ndarray:
         return self.classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
@@ -131,7 +165,7 @@ class Parser:
         order = np.argsort(-lengths, kind="stable")
         for b in range(0, len(order), 4096):
             some = order[b : b + 4096]
-            lanes = np.full((len(some), lengths[some[0]]), 255, np.uint8)
+            lanes = np.full((len(some), lengths[some[0]]), np.iinfo(self.classes.dtype).max, self.classes.dtype)
             for i, j in enumerate(some):
                 lanes[i, : lengths[j]] = pieces[j]
             lanes = np.ascontiguousarray(lanes.T)

@@ -159,6 +159,37 @@ def test_cross_parsing_is_greedy():
         assert p.parse([t])[0].tolist() == [brute(t, "abracadabra"), brute(t, "zzz")]
 
 
+def test_cross_parsing_of_many_letters():
+    g = np.random.default_rng(9)
+    han = [chr(0x4E00 + k) for k in range(400)]
+    refs = {"a": "".join(g.choice(han, 600)), "b": "".join(g.choice(list("кдежзи語の한국abc "), 300)), "c": "日本語の 한국어 abra"}
+    p = language_id.Parser(refs, size=6, lane=10_000)
+
+    def brute(text, ref):
+        n = i = 0
+        while i < len(text):
+            j = i + 1
+            while j < len(text) and text[i : j + 1] in ref:
+                j += 1
+            n, i = n + 1, j
+        return n
+
+    texts = [refs["a"][50:90] + refs["b"][10:40], "日本語の한국 abracad", refs["a"][::7], "жжх語の", "x" + refs["b"][100:150]]
+    assert p.parse(texts).tolist() == [[brute(t, refs[n]) for n in "abc"] for t in texts]
+
+
+def test_language_id_of_other_scripts(spark):
+    samples = {
+        "en": "all people are born free and equal in dignity and rights they have reason and conscience",
+        "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられており",
+        "ko": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며",
+        "zh": "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    }
+    rows = [("zh", "人人平等，自由和尊严，理性和良心"), ("ja", "人間は自由であり、平等である"), ("ko", "인간은 자유로우며 동등하다"), ("en", "people have equal rights")]
+    got = language_id.identify(spark.createDataFrame(rows, "lang string, text string"), samples).collect()
+    assert [r.lang_pred for r in got] == [r.lang for r in got]
+
+
 def test_language_id(spark, small, empty):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
     got = language_id.predict(docs).join(docs, "doc_id").where("held_out and length(text) > 100").collect()

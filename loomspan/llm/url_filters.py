@@ -123,7 +123,7 @@ class Trees:
 def judge_urls(pages: DataFrame, rules: dict[str, str], page_id: str = "page_id", url: str = "url", sample: int = 20_000, most_suffixes: int = 50_000) -> DataFrame:
     """page_id, host, path, rule, verdict, block_score (of the trees).
 
-    sample: labelled URLs that the trees are trained on, those of lowest hash.
+    sample: distinct labelled URLs that the trees are trained on, those of lowest hash.
     most_suffixes: up to so many, suffix statistics are broadcast; beyond, joined.
     """
     spark = pages.sparkSession
@@ -141,7 +141,7 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], page_id: str = "page_id"
     prior = (facts.blocked or 0) / max(1, facts.labelled or 0)
     stats = stats.select("suffix", "n", ((F.col("blocked") + 10 * prior) / (F.col("labelled") + 10)).alias("rate"))
     p = p.join(F.broadcast(stats) if facts.suffixes <= most_suffixes else stats, "suffix", "left")
-    rows = p.where("label is not null").orderBy(F.xxhash64("url"), "url").limit(sample).select("url", "host", "path", "n", "rate", "label").collect()
+    rows = p.where("label is not null").select("url", "host", "path", "n", "rate", "label").dropDuplicates(["url"]).orderBy(F.xxhash64("url"), "url").limit(sample).collect()
     x = np.array([features(r.url, r.host, r.path, r.n, r.rate) for r in rows], float).reshape(-1, len(FEATURES))
     trees = Trees().fit(x, np.array([r.label == "block" for r in rows], float))
     sent = spark.sparkContext.broadcast(trees)  # rounds * 2^depth splits

@@ -134,6 +134,15 @@ def test_url_filters(spark):
     assert url_filters.judge_urls(spark.createDataFrame([], "page_id long, url string"), registry.URL_RULES).count() == 0
 
 
+def test_url_sample_is_of_distinct_urls(spark):
+    urls = [f"https://a.net/{c}/{k}" for k in range(60) for c in ("es", "en")] + [f"https://b.com/{k}" for k in range(60)]
+    t = spark.createDataFrame([(u,) for u in urls], "url string")
+    hot = t.where("url like '%/es/%' or url like '%.com/%'").orderBy(F.xxhash64("url")).first().url  # fills a sample of rows
+    rows = list(enumerate([*urls, *[hot] * 200]))
+    got = url_filters.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), registry.URL_RULES, sample=100).collect()
+    assert len({r.block_score for r in got}) > 1 and len(got) == len(rows)
+
+
 def test_trees_learn():
     g = np.random.default_rng(0)
     x = g.normal(size=(2000, 4))

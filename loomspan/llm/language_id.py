@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, small_batches
+from .common import cached_by, fold, released, small_batches
 
 LETTER = regex.compile(r"\p{L}")
 UND = "und"
@@ -144,11 +144,24 @@ def phrases(lanes: np.ndarray, a: Automaton, size: int) -> np.ndarray:
 
 
 class Parser:
+    """Automata of the samples by language."""
+
     def __init__(self, samples: dict[str, str], size: int = 48, lane: int = 512):
         self.names, self.size, self.lane = sorted(samples), size, lane
         self.classes, total = alphabet(list(samples.values()), size)
         self.tables = [automaton(self.codes(samples[n]), size, total) for n in self.names]
 
+    _made: dict[int, "Parser"] = {}
+
+    @classmethod
+    def of(cls, samples: dict[str, str]) -> "Parser":
+        """The parser of these samples, built once in a worker."""
+        key = hash(tuple(sorted(samples.items())))
+        if key not in cls._made:
+            cls._made.clear()
+            cls._made[key] = cls(samples)
+        return cls._made[key]
+
     def codes(self, text: str) -> np.ndarray:
         return self.classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
 
@@ -175,23 +188,34 @@ class Parser:
         return out
 
 
-def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, where, docs_per_language: int, chars_per_language: int, most_languages: int) -> dict[str, str]:
-    """Text by language, from the rows of lowest hash of their id: bounded by the three parameters."""
-    rows = docs.where(where & F.col(text).isNotNull() & (F.col(text) != "") & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_language)
-    chosen = ids.select("doc_id", "lang").limit(docs_per_language * most_languages)  # its size is the product of two parameters
-    each = max(1, 4 * chars_per_language // docs_per_language)
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.substring(F.col(text), 1, each).alias("text")).join(F.broadcast(chosen), "doc_id")
-    out: dict[str, str] = {}
-    for r in texts.orderBy(F.xxhash64("doc_id"), "doc_id").collect():
-        held = out.get(r.lang, "")
-        if len(held) < chars_per_language:
-            out[r.lang] = (held + " " + r.text)[:chars_per_language]
-    return out
+cached_by("language_id", Parser._made.clear)
 
 
-_parsers: dict[int, Parser] = {}
+def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, where, docs_per_language: int, chars_per_language: int, most_docs: int, most_chars: int) -> dict[str, str]:
+    """Text by language, from the rows of lowest hash of their id: pieces that begin anywhere in a text.
+
+    Every language that occurs is learned. Where there are many, each gets its
+    share of most_docs documents (one at least) and of most_chars characters (200 at least).
+    """
+    rows = docs.where(where & F.col(text).isNotNull() & (F.col(text) != "") & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
+    rows = rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    languages = max(1, sizes.count())
+    n = max(1, min(docs_per_language, most_docs // languages))
+    chars = max(200, min(chars_per_language, most_chars // languages))
+    # four times as long as needed if all texts were that long, and longer where a language has few documents
+    each = F.greatest(F.lit(4 * chars // n), F.ceil(F.lit(2 * chars) / F.col("rows"))).cast("int")
+    begin = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - each + 1)).cast("int") + 1
+    pieces = rows.join(F.broadcast(sizes) if languages <= 10_000 else sizes, "lang").select("doc_id", "lang", F.xxhash64("text").alias("h"), F.substring(F.col("text"), begin, each).alias("piece"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")
+    chosen = pieces.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n)
+    out: dict[str, list[str]] = {}
+    held: Counter = Counter()
+    for r in chosen.orderBy("n", "lang").toLocalIterator():
+        if held[r.lang] < chars:
+            out.setdefault(r.lang, []).append(r.piece[: chars - held[r.lang]])
+            held[r.lang] += len(out[r.lang][-1]) + 1
+    return {k: " ".join(v) for k, v in out.items()}
 
 
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> DataFrame:
@@ -203,14 +227,10 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> Da
     small_batches(spark)
     docs = docs.drop("lang_pred", "score")
     sent = spark.sparkContext.broadcast(samples)  # bounded by the sample's parameters
-    key = hash(tuple(sorted(samples.items())))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _parsers:
-            _parsers.clear()
-            _parsers[key] = Parser(sent.value)
-        parser = _parsers[key]
+        parser = Parser.of(sent.value)
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             told = [k for k, t in enumerate(texts) if parser.names and LETTER.search(t)]
@@ -225,12 +245,12 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released("language_id", run), schema)
 
 
-def learn(docs: DataFrame, docs_per_language: int = 240, chars_per_language: int = 40_000, most_languages: int = 64, held_out: int = 2, folds: int = 4, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
-    """Labelled text by language of the documents outside fold held_out."""
-    return labelled_sample(docs, doc_id, text, lang, fold(doc_id, folds) != held_out, docs_per_language, chars_per_language, most_languages)
+def learn(docs: DataFrame, docs_per_language: int = 240, chars_per_language: int = 40_000, most_docs: int = 60_000, most_chars: int = 4_000_000, held_out: int = 2, folds: int = 4, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
+    """Labelled text by language of the documents outside fold held_out; the four bounds fix the size of the sample."""
+    return labelled_sample(docs, doc_id, text, lang, fold(doc_id, folds) != held_out, docs_per_language, chars_per_language, most_docs, most_chars)
 
 
 def predict(docs: DataFrame, **options) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import released, small_batches, written
 from .pieces import PieceEncoder
 
 RANK_BITS = 50
@@ -167,7 +167,7 @@ def _cut_documents(id_type: str, path: str, window: int, end_id: int, with_ids:
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, part long, part_rank long" + ", ids array<int>" * with_ids
+    return released("pieces", run), f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, part long, part_rank long" + ", ids array<int>" * with_ids
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0, depth: int = 3, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:

@@ -12,6 +12,8 @@ import os
 import re
 from array import array
 
+from .common import cached_by
+
 #: A space at which a text may be cut.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Characters on whose classes all Unicode versions agree.
@@ -51,14 +53,14 @@ def _quick(path: str):
 
 
 class _Held(dict):
-    """Result by piece; made when first asked for, kept while there is room."""
+    """Result by piece; made when first asked for, kept while there is room, if the piece is short."""
 
     def __init__(self, make, most: int):
         self.make, self.most = make, most
 
     def __missing__(self, piece):
         got = self.make(piece)
-        if len(self) < self.most:
+        if len(self) < self.most and len(piece) <= 64:
             self[piece] = got
         return got
 
@@ -68,7 +70,7 @@ class PieceEncoder:
 
     _made: dict[str, "PieceEncoder"] = {}
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -104,3 +106,6 @@ class PieceEncoder:
             return b"".join([self.ids(p) for p in cut(text)])
         found.insert(0, self.ids(first))
         return b"".join(found)
+
+
+cached_by("pieces", PieceEncoder._made.clear)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import released, small_batches, written
 from .pieces import PieceEncoder, cut
 
 
@@ -58,7 +58,7 @@ def _counted(path: str):
         for batch in batches:
             yield batch.append_column("n_tokens", pa.array([encoder.count(p) for p in batch.column(0).to_pylist()], pa.int64()))
 
-    return run
+    return released("pieces", run)
 
 
 def vocabulary(docs: DataFrame, tokenizer_path: str, text: str = "text", held: int = 500_000) -> DataFrame:

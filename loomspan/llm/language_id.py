@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import cached_by, fold, released, small_batches
 
 LETTER = regex.compile(r"\p{L}")
+NO_LETTER = regex.compile(r"\P{L}+")
 UND = "und"
 
 
@@ -219,13 +220,14 @@ def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, where, d
 
 
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> DataFrame:
-    """docs with lang_pred and score; columns of these names are replaced.
+    """docs with lang_pred, score and letters_per_phrase; columns of these names are replaced.
 
     score: 1 - fewest phrases / phrases of the runner-up (1 if there is one language only).
+    letters_per_phrase: of the language that wins; low where no learned language fits, 0 for `und`.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop("lang_pred", "score", "letters_per_phrase")
     sent = spark.sparkContext.broadcast(samples)  # bounded by the sample's parameters
     at = docs.columns.index(text)
 
@@ -234,17 +236,18 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> Da
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             told = [k for k, t in enumerate(texts) if parser.names and LETTER.search(t)]
-            pred, score = [UND] * len(texts), [0.0] * len(texts)
+            pred, score, per = [UND] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             if told:
                 counts = parser.parse([texts[k] for k in told])
                 best = counts.argmin(1)
                 for i, k in enumerate(told):
                     pred[k] = parser.names[best[i]]
+                    per[k] = len(NO_LETTER.sub("", texts[k])) / counts[i].min()
                     ranked = np.sort(counts[i])
                     score[k] = float(1 - ranked[0] / ranked[1]) if len(ranked) > 1 else 1.0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(per, pa.float64())], [*batch.schema.names, "lang_pred", "score", "letters_per_phrase"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double, letters_per_phrase double"
     return docs.mapInArrow(released("language_id", run), schema)
 
 

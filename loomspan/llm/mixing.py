@@ -65,11 +65,12 @@ def exponent(sources: DataFrame, max_repeats: float | None, entropy: float | Non
     return high if max_repeats is not None else low
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens: Column | None = None, max_repeats: float | None = 2.0, entropy: float | None = None, budget_tokens: float | None = None, block_tokens: int = 500_000, most_blocks: int = 4096, most_sources: int = 100_000, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens: Column | None = None, max_repeats: float | None = 2.0, entropy: float | None = None, budget_tokens: float | None = None, block_tokens: int = 500_000, most_blocks: int = 1 << 20, most_sources: int = 100_000, seed: int = 17) -> DataFrame:
     """A row for each draw: the id, the source, n_tokens, epoch, block, block_rank, doc_rank, weight.
 
     Ordering by epoch, block_rank, doc_rank gives each source's stream.
     tokens: number of tokens of a row; by default the words of column text.
+    A source has a block for every block_tokens tokens, most_blocks at most; larger sources have larger blocks.
     most_sources: up to so many, the table of sources is broadcast; beyond, joined.
     """
     if (max_repeats is None) == (entropy is None):
@@ -105,7 +106,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens:
     draws = dealt.select("doc_id", "source", "n_tokens", "weight", "of", "block").join(block, F.col("of").eqNullSafe(F.col("b_of")) & (F.col("block") == F.col("b_block")))
     order = Window.partitionBy("of", "block", "epoch").orderBy(F.xxhash64("doc_id", "epoch", F.lit(seed)), "doc_id")
     draws = draws.withColumn("doc_rank", F.row_number().over(order).cast("long")).withColumn("used", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return draws.where("used <= left").select("doc_id", "source", "n_tokens", F.col("epoch").cast("long"), F.col("block").cast("long"), "block_rank", "doc_rank", "weight")
+    drawn = (F.col("used") <= F.col("left")) & ((F.col("n_tokens") > 0) | (F.col("epoch") == 0))
+    return draws.where(drawn).select("doc_id", "source", "n_tokens", F.col("epoch").cast("long"), F.col("block").cast("long"), "block_rank", "doc_rank", "weight")
 
 
 def temperature(share_high: float, share_low: float, max_repeats: float) -> float:

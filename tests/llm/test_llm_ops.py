@@ -246,6 +246,64 @@ def test_near_dedup(spark, docs, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_compares_in_proportion(spark):
+    """Members of a large group that differ from all others by more than the limit meet nobody."""
+    g = np.random.default_rng(5)
+    counts = {}
+    for n in (100, 300):
+        base = g.choice(100_000, 400).astype(str)
+        rows = []
+        for k in range(n):
+            w = base.copy()
+            w[g.choice(400, int(g.integers(8, 14)), replace=False)] = [f"x{x}" for x in g.integers(0, 10**9, 20)][: 1]
+            rows.append((k, near_dedup.shingles(" ".join(w)), 0))
+        sets = spark.createDataFrame([(k, len(s), k, bytearray(s.tobytes())) for k, s, _ in rows], "id long, size long, root long, tokens binary")
+        pairs = near_dedup.prefix_pairs(sets, n, 85).collect()
+        counts[n] = len(pairs)
+        found = {(min(r.a, r.b), max(r.a, r.b)) for r in pairs}
+        for i in range(n):
+            for j in range(i + 1, n):
+                x, y = rows[i][1], rows[j][1]
+                both = len(np.intersect1d(x, y))
+                if both * 100 >= 85 * (len(x) + len(y) - both):
+                    assert (i, j) in found
+    assert counts[300] <= 6 * max(counts[100], 300)
+
+
+def test_near_dedup_of_repeated_ids(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (3, a + " x"), (3, b), (3, b), (None, a), (4, None), (9, b + " y")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == [(0, 56, 0, True), (1, 56, 1, True), (3, 56, 3, True), (3, 56, 3, True), (3, 57, 1, False), (4, 0, 4, True), (9, 57, 3, False)]
+
+
+def test_many_languages_are_all_learned(spark):
+    g = np.random.default_rng(1)
+    rows = [(k, " ".join("".join(g.choice(list("abcdefgh"), 5)) for _ in range(30)), f"l{k % 151:03d}") for k in range(900)]
+    samples = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), docs_per_language=1)
+    assert len(samples) == 151
+    short = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_chars=151 * 300)
+    assert max(map(len, short.values())) <= 300
+
+
+def test_mixing_draws_empty_documents_once(spark):
+    rows = [(k, "w " * 50, "big") for k in range(40)] + [(100 + k, "w " * 50 if k else None, "small") for k in range(4)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_repeats=1.0, block_tokens=200, budget_tokens=8000.0).collect()
+    times = Counter(r.doc_id for r in got)
+    assert times[100] == 1
+    drawn = Counter()
+    for r in got:
+        drawn[r.source] += r.n_tokens
+    assert all(d <= 8000 * w + 1 and d > 8000 * w - 201 for s, d in drawn.items() for w in [next(r.weight for r in got if r.source == s)])
+    for s in ("big", "small"):  # blocks of an epoch stand in one order, places in a block are gapless
+        for e in {r.epoch for r in got if r.source == s}:
+            by = defaultdict(list)
+            for r in got:
+                if (r.source, r.epoch) == (s, e):
+                    by[(r.block_rank, r.block)].append(r.doc_rank)
+            assert len({k[0] for k in by}) == len(by)
+
+
 def test_chat_format(spark):
     rows = [(1, 0, "user", "a & <b> &lt; </turn>\n"), (1, 1, "assistant", "x\n\n"), (1, 1, "assistant", "x\n\n"), (1, 2, None, None), (2, 0, "assistant", ""), (None, 0, "system", "s")]
     t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

@@ -25,26 +25,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is recognised; learned from the labelled rows of this stage's input."""
-    return language_id.identify(docs.select(*COLUMNS), language_id.learn(docs)).where(F.col("lang_pred") != language_id.UND).select(*COLUMNS)
+    """Documents in which a language is recognised, with lang set to it; learned from the labelled rows of this stage's input.
+
+    Rejected: texts without a letter, and those that no learned language fits,
+    where a phrase of the best one has fewer than two letters on average (a script
+    that was not learned comes to one, prose of a learned language to three and more).
+    """
+    found = language_id.identify(docs.select(*COLUMNS), language_id.learn(docs))
+    fits = (F.col("lang_pred") != language_id.UND) & (F.col("letters_per_phrase") >= 2)
+    return found.where(fits).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of the smallest id. Rows without an id all stay."""
-    docs = docs.select(*COLUMNS)
-    kept = near_dedup.near_duplicates(docs, percent=85).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+    """One document of each group of near duplicates: the one of the smallest id.
+
+    A document is an id and a text: exact repeats of both are one document,
+    rows of one id with different texts are several, and so are rows without an id.
+    """
+    docs = docs.select(*COLUMNS, F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"))
+    kept = near_dedup.near_duplicates(docs, percent=85, doc_id="key").where("kept").select(F.col("doc_id").alias("key")).distinct()
+    return docs.join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and those of small sources again, until no source is repeated more than twice as often as another.
 
-    Ids are those of the stage before, once each; rows without an id are drawn once.
+    Rows stand in the order of the draws: by epoch, by place of the block, by
+    place in the block, sources side by side. Documents are told apart by id and text, as in the stage before.
     """
-    docs = docs.select(*COLUMNS)
-    draws = mix(docs, max_repeats=2.0).groupBy("doc_id").agg(F.count("*").alias("draws"))
-    drawn = docs.join(draws, "doc_id").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("draws").cast("int"))))
-    return drawn.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+    docs = docs.select(*COLUMNS, F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"))
+    draws = mix(docs, doc_id="key", max_repeats=2.0).select(F.col("doc_id").alias("key"), F.struct("epoch", "block_rank", "doc_rank").alias("place"))
+    return docs.join(draws, "key").orderBy("place", F.xxhash64("source"), "key").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from difflib import unified_diff
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,17 +30,30 @@ def numbers(text: Column) -> Column:
 
 
 def table_count(md: Column) -> Column:
-    """Delimiter rows of pipe tables."""
-    return F.regexp_count(md, F.lit(r"(?m)^\|?[ ]*:?-{3,}:?[ ]*(\|[ ]*:?-{3,}:?[ ]*)+\|?[ ]*$"))
+    """Delimiter rows of pipe tables: a pipe at both ends, one dash or more a column."""
+    return F.regexp_count(md, F.lit(r"(?m)^\s*(?:\|\s*:?-+:?\s*)+\|\s*$"))
+
+
+def utf16_length(text: Column) -> Column:
+    """Code units: code points, those beyond the basic plane twice."""
+    return F.length(text) + F.regexp_count(text, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+
+
+def _places(value: Column, n: int) -> Column:
+    return F.floor(value * 10**n + 0.5) / 10**n
 
 
 def compare_outputs(a: Column, b: Column) -> Column:
-    """Struct of length ratio, number preservation and grade of two renderings of a document."""
+    """Struct of lengths, numbers, tables and a grade of rendering a of a document against rendering b."""
     n, m = F.array_distinct(numbers(a)), F.array_distinct(numbers(b))
-    ratio = F.when(F.length(b) == 0, F.when(F.length(a) == 0, 1.0).otherwise(0.0)).otherwise(F.length(a) / F.length(b))
-    kept = F.when(F.size(m) == 0, 1.0).otherwise(F.size(F.array_intersect(n, m)) / F.size(m))
-    grade = F.when(ratio.between(0.8, 1.25) & (kept >= 0.95), "pass").when(ratio.between(0.5, 2.0) & (kept >= 0.8), "warn").otherwise("fail")
-    return F.struct(F.round(ratio, 6).alias("length_ratio"), F.round(kept, 6).alias("numbers_kept"), grade.alias("grade"))
+    x, y = utf16_length(a), utf16_length(b)
+    ratio = F.when(y > 0, x / y).otherwise(F.when(x > 0, 0.0).otherwise(1.0))
+    kept = F.when(F.size(m) > 0, F.size(F.array_intersect(n, m)) / F.size(m)).otherwise(F.when(F.size(n) > 0, 0.0).otherwise(1.0))
+    grade = F.when((ratio >= 0.8) & (kept >= 0.9), "good").when((ratio >= 0.5) & (kept >= 0.7), "acceptable").otherwise("poor")
+    return F.struct(
+        x.alias("length"), y.alias("other_length"), _places(ratio, 3).alias("length_ratio"), F.size(n).alias("numbers"), F.size(m).alias("other_numbers"),
+        _places(kept, 3).alias("numbers_kept"), table_count(a).alias("tables"), table_count(b).alias("other_tables"), grade.alias("grade"),
+    )
 
 
 def trim_tokens(text: Column, most: int, chars_per_token: float = 2.8) -> Column:
@@ -55,20 +68,30 @@ def expires_at(created: Column, ttl_ms: Column) -> Column:
     return created + F.make_dt_interval(secs=(ttl_ms / 1000).cast("decimal(18,6)"))
 
 
-#: Price per million tokens (input, output); two tiers from 200,000 input tokens.
-PRICES = {"small": (0.15, 0.6), "large": (2.5, 10.0), "tiered": (1.25, 10.0)}
-TIERED = {"tiered": (2.5, 15.0)}
+#: Price per million tokens by model (input, output). A model whose name holds a TIERED key has
+#: two tiers instead, the second beyond 200,000 input tokens. Other models cost nothing.
+PRICES = {
+    "openai/o3-mini": (1.1, 4.4), "gpt-4o-mini": (0.15, 0.6), "openai/gpt-4o-mini": (0.15, 0.6), "openai/gpt-4o": (2.5, 10.0), "gpt-5": (1.25, 10.0), "openai/gpt-5": (1.25, 10.0),
+    "gpt-5-mini": (0.25, 2.0), "openai/gpt-5-mini": (0.25, 2.0), "gpt-5-nano": (0.05, 0.4), "openai/gpt-5-nano": (0.05, 0.4), "google/gemini-2.0-flash-001": (0.15, 0.6), "gemini-2.0-flash": (0.15, 0.6),
+    "deepseek/deepseek-r1": (0.55, 2.19), "google/gemini-2.0-flash-thinking-exp:free": (0.55, 2.19), "google/gemini-2.5-flash-lite": (0.1, 0.4),
+}
+TIERED = {"gemini-2.5-pro": ((1.25, 10.0), (2.5, 15.0))}
 
 
-def llm_cost(model: Column, n_in: Column, n_out: Column) -> Column:
-    out = F.lit(0.0)
-    for name, (i, o) in PRICES.items():
-        cost = (n_in * i + n_out * o) / 1e6
-        if name in TIERED:
-            hi, ho = TIERED[name]
-            cost = F.when(n_in > 200_000, (n_in * hi + n_out * ho) / 1e6).otherwise(cost)
-        out = F.when(model == name, cost).otherwise(out)
-    return out
+def price_table(spark) -> DataFrame:
+    return spark.createDataFrame([(m, i, o) for m, (i, o) in PRICES.items()], "model string, input_price double, output_price double")
+
+
+def with_llm_cost(usage: DataFrame, prices: DataFrame, model: str = "model", n_in: str = "n_in", n_out: str = "n_out", tiers: dict | None = None) -> DataFrame:
+    """usage with cost. prices: model, input_price, output_price, one row a model; small, as price lists are."""
+    priced = usage.join(prices.withColumnRenamed("model", "__m"), F.col(model) == F.col("__m"), "left")
+    i, o = F.coalesce("input_price", F.lit(0.0)), F.coalesce("output_price", F.lit(0.0))
+    for name, ((low_i, low_o), (high_i, high_o)) in (TIERED if tiers is None else tiers).items():
+        own, high = F.contains(F.col(model), F.lit(name)), F.col(n_in) > 200_000
+        i = F.when(own, F.when(high, high_i).otherwise(low_i)).otherwise(i)
+        o = F.when(own, F.when(high, high_o).otherwise(low_o)).otherwise(o)
+    cost = (F.col(n_in) * i + F.col(n_out) * o) / 1_000_000
+    return priced.withColumn("cost", cost).select(*usage.columns, "cost")
 
 
 def map_diff(previous: Column, current: Column) -> Column:
@@ -180,6 +203,22 @@ def next_run(expression: str, after: datetime, zone: str = "UTC") -> datetime |
     return None
 
 
+def next_runs(expression: str, after: Column) -> Column:
+    """next_run of a column of times without zone (taken as UTC). Every hour and every day need no Python; others run in Arrow batches."""
+    minute, hour, day, month, week = cron_fields(expression)
+    whole = len(day) == 31 and len(month) == 12 and len(week) == 7
+    if whole and len(minute) == 1 and len(hour) in (1, 24):
+        unit = "hour" if len(hour) == 24 else "day"
+        shift = F.expr(f"interval {min(minute) + (60 * min(hour) if unit == 'day' else 0)} minutes")
+        own = F.date_trunc(unit, after).cast("timestamp_ntz") + shift
+        return F.when(own > F.date_trunc("minute", after).cast("timestamp_ntz"), own).otherwise(own + F.expr(f"interval 1 {unit}"))
+
+    def run(times):
+        return times.map(lambda t: None if t is None or t != t else next_run(expression, t.to_pydatetime().replace(tzinfo=timezone.utc)).replace(tzinfo=None))
+
+    return F.pandas_udf(run, "timestamp_ntz")(after)
+
+
 def schedule_text(text: str) -> str:
     """A schedule in words as five fields."""
     t = re.sub(r"\s+", " ", text.strip().lower())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,13 @@ from loomspan.operators.link_filter import Scope, denial_reason, once, with_part
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """In the session's shared checkpoint folder; kept in memory where a session has none."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+    """In the session's shared checkpoint folder; only a local session without one gets a temporary folder."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomspan-"))
+    return df.checkpoint()
 
 
 def canonical(df: DataFrame, name: str, url) -> DataFrame:
@@ -53,7 +59,7 @@ def crawl(edges: DataFrame, seeds: DataFrame, scope: Scope, max_discovery_depth:
         if not n:
             break
         total += n
-        seen = keep(seen.unionByName(last))
+        seen = seen.unionByName(last)  # a table a depth, none written twice
     return seen
 
 

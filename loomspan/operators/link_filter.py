@@ -64,14 +64,19 @@ def any_match(target: Column, patterns: list[str]) -> Column:
     return F.lit(False) if not patterns else target.rlike("|".join(f"(?:{p})" for p in patterns))
 
 
+def is_section(url: Column) -> Column:
+    """A fragment that is no client-side route."""
+    part = F.get(F.split(url, "#"), F.lit(1))
+    return F.contains(url, F.lit("#")) & ~((F.length(part) > 1) & F.contains(part, F.lit("/")))
+
+
 def denial_reason(url: Column, p: Column, h: Column, scope: Scope) -> Column:
     """Of a resolved URL with its path and host; null if it may be followed."""
     base, first = F.lit(scope.base_url), F.lit(scope.initial_url)
     web = url.rlike("^https?://")
     internal = F.regexp_replace(h, r"^(www\.)+", "") == F.regexp_replace(U.host(base), r"^(www\.)+", "")
     initial_internal = F.regexp_replace(U.host(first), r"^(www\.)+", "") == F.regexp_replace(U.host(base), r"^(www\.)+", "")
-    frag = F.split(url, "#")
-    section = F.contains(url, F.lit("#")) & ~((F.length(F.get(frag, F.lit(1))) > 1) & F.contains(F.get(frag, F.lit(1)), F.lit("/")))
+    section = is_section(url)
     target = url if scope.regex_on_full_url else p
     includes, excludes = valid_patterns(scope.includes), valid_patterns(scope.excludes)
     outside = ~any_match(target, includes) if includes else F.lit(False)
@@ -123,23 +128,61 @@ def reason_text(code: Column) -> Column:
     return out
 
 
-def blocked(url: Column, domains: tuple[str, ...], allow_keywords: tuple[str, ...] = ()) -> Column:
-    """On the blocklist: the domain, a subdomain, or the same name under another suffix (names over two letters); allow keywords win."""
-    h = U.bare_host(url)
-    base = F.substring_index(U.registrable(h), ".", 1)
+def blocked(url: Column, domains: tuple[str, ...], allow_keywords: tuple[str, ...] = (), unblocked: tuple[str, ...] = ()) -> Column:
+    """Whether the URL's registrable domain is on the blocklist, lies under an entry, or bears the name of one under another suffix (names over two letters).
+
+    Allow keywords win: plain text or `regex:` patterns whatever their case,
+    `/pattern/flags` as written. A URL without a registrable domain is not blocked.
+    """
+    listed = [d for d in domains if d not in unblocked]
+    own = U.registrable(U.host(F.trim(url)))
+    name = F.substring_index(own, ".", 1)
     out = F.lit(False)
-    for d in domains:
-        name = d.split(".")[0]
-        out = out | (h == d) | F.endswith(h, F.lit("." + d)) | ((F.lit(len(name)) > 2) & (base == name))
+    for d in listed:
+        twin = (F.length(name) > 2) & (F.lit(d.split(".")[0]) == name) & (own != d) if "." in d else F.lit(False)
+        out = out | (own == d) | F.endswith(own, F.lit("." + d)) | twin
     allowed = F.lit(False)
-    for k in allow_keywords:
-        if m := re.fullmatch(r"/(.*)/([a-z]*)", k):
-            allowed = allowed | url.rlike(("(?i)" if "i" in m[2] else "") + m[1])
+    for k in (k.strip() for k in allow_keywords if k.strip()):
+        if k.startswith("regex:"):
+            pattern = k.removeprefix("regex:")
+            allowed = allowed | (url.rlike("(?i)" + pattern) if valid_patterns((pattern,)) else F.lit(False))
+        elif m := re.fullmatch(r"/(.+)/([dgimsuvy]*)", k):
+            flags = "".join(f for f in m[2] if f in "ims")
+            allowed = allowed | (url.rlike((f"(?{flags})" if flags else "") + m[1]) if valid_patterns((m[1],)) else F.lit(False))
         else:
-            allowed = allowed | (url.rlike(k[6:]) if k.startswith("regex:") else F.contains(F.lower(url), F.lit(k.lower())))
+            allowed = allowed | F.contains(F.lower(url), F.lit(k.lower()))
     return F.coalesce(out & ~allowed, F.lit(False))
 
 
+def filter_url(links: DataFrame, scope: Scope, link: str = "link", page: str = "page") -> DataFrame:
+    """links with allowed, url and denial_reason, for single URLs found on a page: no depth, file, include or backward rule.
+
+    A link that does not start with http is taken relative to its page.
+    """
+    base = F.lit(scope.base_url)
+    href = F.col(link)
+    full = F.when(F.startswith(href, F.lit("http")), href).otherwise(U.resolve(F.col(page), href))
+    out = with_parts(links, full)
+    url, p, h = F.col("__url"), F.col("__path"), F.col("__host")
+
+    def bare(x):
+        return F.regexp_replace(x, r"^(www\.)+", "")
+
+    internal, from_site = bare(h) == bare(U.host(base)), bare(U.host(F.col(page))) == bare(U.host(base))
+    excludes = valid_patterns(scope.excludes)
+    denied = F.lit(False)
+    for prefix in scope.disallowed:
+        denied = denied | F.startswith(p, F.lit(prefix))
+    inside = F.when(is_section(url), "SECTION_LINK").when(any_match(p, excludes), "EXCLUDE_PATTERN").when(denied, "ROBOTS_TXT")
+    content = from_site & F.lit(scope.allow_external) & (F.size(F.filter(F.split(p, "/"), lambda s: s != "")) > 0)
+    related = F.lit(scope.allow_subdomains) & F.coalesce(U.registrable(h) == U.registrable(U.host(base)), F.lit(False))
+    beyond = F.when(any_match(url, [re.escape(s) for s in SOCIAL]), "SOCIAL_MEDIA").when(any_match(url, excludes), "EXCLUDE_PATTERN").when(content | related, None).otherwise("EXTERNAL_LINK")
+    scheme = F.when(url.isNull(), "URL_PARSE_ERROR").when(url.rlike("^(" + "|".join(NON_WEB) + ")"), "NON_WEB_PROTOCOL").when(~url.rlike("^https?://") | (h == ""), "URL_PARSE_ERROR")
+    out = once(out, "denial_reason", F.coalesce(scheme, F.when(internal, inside).otherwise(beyond)))
+    allowed = F.col("denial_reason").isNull()
+    return out.withColumns({"allowed": allowed, "url": F.when(allowed, url)}).drop("__url", "__path", "__host")
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")

@@ -31,20 +31,67 @@ def latest_before(events: DataFrame, probes: DataFrame, keys: list[str], time: s
     return both.select("__p.*", *[F.col(f"__last.{c}").alias(f"last_{c}") for c in carry])
 
 
-def upsert_pages(state: DataFrame, seen: DataFrame, check: str) -> DataFrame:
-    """State by url after a check: first and last seen, last changed, status. Rows not seen stay."""
-    s, n = state.alias("s"), seen.alias("n")
-    j = s.join(n, "url", "full_outer")
-    here = F.col("n.status").isNotNull()
-    changed = here & (F.col("s.first_seen").isNull() | F.col("n.status").isin("new", "changed", "removed"))
+def upsert_pages(state: DataFrame, seen: DataFrame, check: str, now: Column | None = None) -> DataFrame:
+    """State by url after a check that reports a status for some pages. Rows not reported stay as they are.
+
+    A removed page keeps when it was last seen and last changed, and is marked
+    with the time; only new and changed pages move the last change.
+    """
+    j = state.alias("s").join(seen.select("url", F.col("status").alias("reported")).alias("n"), "url", "full_outer")
+    told, gone = F.col("reported").isNotNull(), F.col("reported") == "removed"
+    at = F.current_timestamp() if now is None else now
     return j.select(
         "url",
         F.coalesce("s.first_seen", F.lit(check)).alias("first_seen"),
-        F.when(here, F.lit(check)).otherwise(F.col("s.last_seen")).alias("last_seen"),
-        F.when(changed, F.lit(check)).otherwise(F.col("s.last_changed")).alias("last_changed"),
-        F.coalesce("n.status", "s.status").alias("status"),
+        F.when(told & ~gone, F.lit(check)).otherwise(F.col("s.last_seen")).alias("last_seen"),
+        F.when(F.col("reported").isin("new", "changed"), F.lit(check)).otherwise(F.col("s.last_changed")).alias("last_changed"),
+        F.coalesce("reported", "s.status").alias("status"),
+        F.when(told, gone).otherwise(F.col("s.is_removed")).alias("is_removed"),
+        F.when(gone, at).when(told, None).otherwise(F.col("s.removed_at")).alias("removed_at"),
     )
 
 
+def page_diff(pages: DataFrame, modes: tuple[str, ...] = ("git-diff",)) -> DataFrame:
+    """pages with diff_status (new, changed, same), diff_kind and diff_json, against each page's previous scrape.
+
+    pages: previous_id, was_removed, and (previous_)markdown and (previous_)json, the
+    latter flat objects as maps. modes: json, git-diff, or both, where a change
+    of either counts. A missing document is a change, an empty one is not missing.
+    """
+    from loomspan.functions.text import map_diff
+
+    wants_json = "json" in modes
+    text_differs = comparable(F.col("previous_markdown")) != comparable(F.col("markdown"))
+    new = F.col("previous_id").isNull() | F.coalesce("was_removed", F.lit(False))
+    none = F.create_map().cast("map<string,string>")
+    fields = map_diff(F.coalesce("previous_json", none), F.coalesce("json", none))
+    if wants_json:
+        both = (F.col("previous_markdown") != "") & (F.col("markdown") != "") if "git-diff" in modes else F.lit(False)
+        beside = F.coalesce(both & text_differs, F.lit(False))
+        changed = F.col("json").isNull() | (F.size(fields) > 0) | beside
+        kept = F.when(~new & changed & F.col("json").isNotNull(), fields)
+    else:
+        changed = F.col("previous_markdown").isNull() | F.col("markdown").isNull() | text_differs
+        kept = F.lit(None).cast("map<string,struct<previous:string,current:string>>")
+    missing = F.col("json").isNull() if wants_json else F.col("previous_markdown").isNull() | F.col("markdown").isNull()
+    status = F.when(new, "new").when(changed, "changed").otherwise("same")
+    kind = F.when((status == "changed") & ~missing, "json" if wants_json else "markdown")
+    return pages.withColumns({"diff_status": status, "diff_kind": kind, "diff_json": kept})
+
+
 def removed_pages(previous: DataFrame, current: DataFrame, key: str = "url") -> DataFrame:
     return previous.join(current.select(key).distinct(), key, "left_anti")
+
+
+def job_lookup(queue: DataFrame, database: DataFrame, blobs: DataFrame) -> DataFrame:
+    """id, status, price, result of every job that the queue or the database knows; the stored result wins over the status."""
+    both = queue.join(database, "id", "full_outer").join(blobs, "id", "left")
+    return both.select("id", "status", "price", F.coalesce("blob", "status").alias("result"))
+
+
+def agreeing_sources(items: DataFrame, sources: DataFrame, keys: list[str], field: str, name: str) -> DataFrame:
+    """items with the number of sources of equal keys whose field is equal or not known; sources are counted before they are joined."""
+    known = sources.where(F.col(field).isNotNull()).groupBy(*keys, field).agg(F.count("*").alias("__n"))
+    open_ = sources.where(F.col(field).isNull()).groupBy(*keys).agg(F.count("*").alias("__o"))
+    both = items.join(known, [*keys, field], "left").join(open_, keys, "left")
+    return both.withColumn(name, F.coalesce("__n", F.lit(0)) + F.coalesce("__o", F.lit(0))).drop("__n", "__o")

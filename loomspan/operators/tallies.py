@@ -75,3 +75,39 @@ def frequency_bucket(seconds: Column) -> Column:
     for limit, name in ((900, "15m"), (1800, "30m"), (3600, "hourly"), (21600, "sub_daily"), (86400, "daily"), (604800, "weekly")):
         out = F.when(seconds <= limit, name) if out is None else out.when(seconds <= limit, name)
     return out.otherwise("other")
+
+
+def monitor_credits(targets: DataFrame, monitor: str = "monitor_id", default_limit: int = 10_000) -> DataFrame:
+    """Credits of a run of each monitor: a scrape target's URLs, a crawl target's limit (one at least)."""
+    price = F.when(F.col("type") == "scrape", F.size("urls")).otherwise(F.greatest(F.lit(1), F.coalesce("limit", F.lit(default_limit))))
+    return targets.groupBy(monitor).agg(F.sum(price).cast("long").alias("credits"), F.count("*").alias("targets"))
+
+
+def scrape_credit_sum(docs: DataFrame, keys: list[str], credits: str = "credits_used") -> DataFrame:
+    """Credits that scraped results used, by request; a result that does not say used none."""
+    return docs.groupBy(*keys).agg(F.sum(F.coalesce(credits, F.lit(0))).cast("long").alias("credits"))
+
+
+def engine_results(results: DataFrame, similarity: float) -> DataFrame:
+    """results with similarity and outcome: browser_failed, sufficient or not of the light client against the browser.
+
+    results: browser, browser_stealth, light, light_stealth: the Markdown each
+    engine returned, null where it failed. Stealth results count first.
+    """
+    from loomspan.functions.text import edit_similarity
+
+    gold, light = F.coalesce("browser_stealth", "browser", F.lit("")), F.coalesce("light_stealth", "light", F.lit(""))
+    likeness = F.when((gold != "") & (light != ""), edit_similarity(gold, light))
+    outcome = F.when(gold == "", "browser_failed").when(F.coalesce(likeness >= similarity, F.lit(False)), "sufficient").otherwise("insufficient")
+    return results.withColumns({"similarity": likeness, "outcome": outcome})
+
+
+def engine_verdict(results: DataFrame, by: str, similarity: float = 0.85, success_rate: float = 0.9, failure_rate: float = 0.5) -> DataFrame:
+    """Per site whether the light client will do, the browser is needed, or that cannot be told; the rate is over the URLs that could be compared."""
+    def n(*kinds):
+        return F.count_if(F.col("outcome").isin(*kinds))
+
+    g = engine_results(results, similarity).groupBy(by).agg(F.count("*").alias("total"), n("browser_failed").alias("failed"), n("sufficient").alias("sufficient"), n("insufficient").alias("insufficient"))
+    comparable = F.col("total") - F.col("failed")
+    unknown = (F.col("failed") / F.col("total") > failure_rate) | (comparable == 0)
+    return g.withColumn("verdict", F.when(unknown, "Uncertain").when(F.col("sufficient") / comparable >= success_rate, "TlsClientOk").otherwise("ChromeCdpRequired"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from loomspan.functions import urls as U
 from loomspan.operators import access
-from loomspan.operators.link_filter import Scope, blocked, filter_links, reason_text
+from loomspan.operators.link_filter import REASONS, Scope, blocked, filter_links, filter_url, reason_text
 
 from .registry import Registry, table
 
@@ -32,22 +32,31 @@ def filter_links_limited(spark, sf_dir):
     return filter_links(links(spark, sf_dir), SCOPE, order="page_id", limit=20).select("page_id", "denial_reason")
 
 
-@Q.query(f"WITH d AS (SELECT {CASCADE} AS r FROM pages) SELECT r AS denial_reason, count(*) AS n FROM d WHERE r IS NOT NULL GROUP BY r")
+REASON_ROWS = ", ".join(f"('{k}', '{v.replace(chr(39), chr(39) * 2)}')" for k, v in REASONS.items())
+
+
+@Q.query(f"WITH d AS (SELECT {CASCADE} AS r FROM pages), t(r, reason) AS (VALUES {REASON_ROWS}) SELECT d.r AS denial_reason, reason, count(*) AS n FROM d JOIN t ON d.r = t.r GROUP BY ALL")
 def filter_links_denials(spark, sf_dir):
-    d = filter_links(links(spark, sf_dir), SCOPE).where("denial_reason is not null").withColumn("text", reason_text(F.col("denial_reason")))
-    return d.groupBy("denial_reason").agg(F.count("text").alias("n"))
+    d = filter_links(links(spark, sf_dir), SCOPE).where("denial_reason is not null").withColumn("reason", reason_text(F.col("denial_reason")))
+    return d.groupBy("denial_reason", "reason").agg(F.count("*").alias("n"))
 
 
-@Q.query("""WITH h AS (SELECT page_id, url, lower(regexp_extract(url, '^[^:]*://([^/?#:]*)', 1)) AS h FROM pages)
-SELECT page_id, (h = 'example.net' OR h LIKE '%.example.net' OR regexp_matches(h, '(^|\\.)spam-farm\\.example\\.org$')) AND NOT contains(lower(url), '/de/') AS blocked FROM h""")
+@Q.query("""WITH h AS (SELECT page_id, url, lower(regexp_extract(lower(regexp_extract(url, '^[^:]*://([^/?#:]*)', 1)), '([^.]+\\.[^.]+)$', 1)) AS d FROM pages)
+SELECT page_id, (d = 'example.net' OR d = 'adult-x.example' OR split_part(d, '.', 1) = 'example' AND d <> 'example.net') AND NOT contains(lower(url), 'de/4') AND NOT regexp_matches(url, 'S/') AND NOT regexp_matches(lower(url), 'www\\.') AND NOT regexp_matches(url, '^https') AS blocked FROM h""")
 def filter_blocklist(spark, sf_dir):
-    # by domain, subdomain; keyword /de/ lifts the block
-    p = table(spark, sf_dir, "pages")
-    h = U.host(F.col("url"))
-    name = F.lit(False)
-    for d in ("example.net", "spam-farm.example.org"):
-        name = name | U.matches_domain(h, d)
-    return p.select("page_id", (name & ~F.contains(F.lower("url"), F.lit("/de/"))).alias("blocked"))
+    # by registrable domain, and by its name under another suffix; a keyword and patterns lift the block
+    keywords = ("DE/4", "/S\\//", "regex:WWW\\.", "/^https/g", "regex:(")
+    return table(spark, sf_dir, "pages").select("page_id", blocked(F.col("url"), ("example.net", "adult-x.example", "lifted.org"), keywords, unblocked=("lifted.org",)).alias("blocked"))
+
+
+@Q.query(f"""WITH l AS (SELECT page_id, {LINK} AS link FROM pages) SELECT page_id, link, CASE page_id % 12 WHEN 0 THEN 'NON_WEB_PROTOCOL' WHEN 4 THEN 'SOCIAL_MEDIA' WHEN 5 THEN 'EXTERNAL_LINK' WHEN 9 THEN 'SECTION_LINK' WHEN 10 THEN 'ROBOTS_TXT' WHEN 11 THEN 'EXCLUDE_PATTERN' END AS denial_reason,
+CASE page_id % 12 WHEN 6 THEN link WHEN 7 THEN link WHEN 1 THEN 'https://www.example.com' || link WHEN 2 THEN 'https://www.example.com' || link WHEN 3 THEN 'https://www.example.com' || link WHEN 8 THEN 'https://www.example.com' || link END AS url FROM l""")
+def filter_url_single(spark, sf_dir):
+    from dataclasses import replace
+
+    found = links(spark, sf_dir).withColumn("page", F.lit("https://example.com/fr/start"))
+    base = F.when(F.startswith("link", F.lit("/")), F.lit("https://www.example.com/x")).otherwise(F.col("page"))
+    return filter_url(found.withColumn("page", base), replace(SCOPE, allow_external=True)).select("page_id", "link", "denial_reason", "url")
 
 
 @Q.query("SELECT page_id, regexp_extract(url, '^[^:]*://([^/?#:]*)', 1) LIKE '%example.%' AND NOT regexp_matches(url, '/es/') AS blocked FROM pages")

@@ -10,14 +10,15 @@ from .registry import Registry, table
 Q = Registry()
 
 
-@Q.query("""WITH q AS (SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderkey % 2 = 0), d AS (SELECT o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderkey % 3 = 0), b AS (SELECT o_orderkey AS id, o_orderpriority AS blob FROM orders WHERE o_orderkey % 5 = 0)
+@Q.query("""WITH q AS (SELECT o_orderkey AS id, o_orderstatus AS status FROM orders), d AS (SELECT o_orderkey + 1 AS id, o_totalprice AS price FROM orders), b AS (SELECT o_orderkey * 2 AS id, o_orderpriority AS blob FROM orders)
 SELECT id, status, price, coalesce(blob, status) AS result FROM q FULL JOIN d USING (id) LEFT JOIN b USING (id)""")
 def join_job_lookup(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    q = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
-    d = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
-    b = o.where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("blob"))
-    return q.join(d, "id", "full_outer").join(b, "id", "left").select("id", "status", "price", F.coalesce("blob", "status").alias("result"))
+    """A job by id in the queue, in the database or in both, with its stored result."""
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    q = o.select(key.alias("id"), F.col("o_orderstatus").alias("status"))
+    d = o.select((key + 1).alias("id"), F.col("o_totalprice").alias("price"))
+    b = o.select((key * 2).alias("id"), F.col("o_orderpriority").alias("blob"))
+    return S.job_lookup(q, d, b)
 
 
 @Q.query("""WITH i AS (SELECT page_id, url, 'snippet' AS description FROM pages), d AS (SELECT url, max_by(page_id, page_id) AS doc, count(*) AS n FROM pages WHERE page_id % 3 <> 0 GROUP BY url)
@@ -48,28 +49,31 @@ def join_frontier_unseen(spark, sf_dir):
     return p.join(p.where("page_id % 4 = 0").select("key"), "key", "left_anti").select("page_id", "url")
 
 
-@Q.query("SELECT url, page_id FROM pages WHERE page_id % 2 = 0 AND url NOT IN (SELECT url FROM pages WHERE page_id % 6 = 0)")
+@Q.query("SELECT url, page_id FROM pages WHERE url NOT IN (SELECT CASE WHEN page_id % 6 = 0 THEN url || '#moved' ELSE url END FROM pages)")
 def join_removed_pages(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("url", "page_id")
-    return S.removed_pages(p.where("page_id % 2 = 0"), p.where("page_id % 6 = 0"))
+    now = p.withColumn("url", F.when(F.col("page_id") % 6 == 0, F.concat("url", F.lit("#moved"))).otherwise(F.col("url")))
+    return S.removed_pages(p, now)
 
 
-@Q.query("""WITH e AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase' OR event_id % 2 = 0), q AS (SELECT user_id, event_id, ts FROM events WHERE event_id % 5 = 0)
-SELECT q.event_id, (SELECT e.value FROM e WHERE e.user_id = q.user_id AND (e.ts < q.ts OR (e.ts = q.ts)) ORDER BY e.ts DESC, e.event_id DESC LIMIT 1) AS last_value FROM q""")
+@Q.query("""WITH e AS (SELECT user_id, ts, max_by(value, event_id) AS value FROM events GROUP BY ALL), q AS (SELECT user_id, event_id, ts - INTERVAL 1 HOUR AS t FROM events)
+SELECT q.event_id, e.value AS last_value FROM q ASOF LEFT JOIN e ON q.user_id = e.user_id AND q.t >= e.ts""")
 def join_latest_before(spark, sf_dir):
+    """For each event what its user's last event an hour before or earlier was worth."""
     e = table(spark, sf_dir, "events")
-    left = e.where("event_type = 'purchase' or event_id % 2 = 0").select("user_id", "ts", "value")
-    return S.latest_before(left, e.where("event_id % 5 = 0").select("user_id", "ts", "event_id"), ["user_id"], "ts", "ts", ["value"]).select("event_id", "last_value")
+    known = e.select("user_id", F.struct("ts", "event_id").alias("at"), "value")
+    asked = e.select("user_id", "event_id", F.struct((F.col("ts") - F.expr("interval 1 hour")).alias("ts"), F.lit(2**63 - 1).alias("event_id")).alias("at"))
+    return S.latest_before(known, asked, ["user_id"], "at", "at", ["value"]).select("event_id", "last_value")
 
 
-@Q.query("""WITH i AS (SELECT p_partkey AS item, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 10 = 0), x AS (SELECT p_partkey AS source, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN p_size END AS size FROM part)
-SELECT item, count(*) AS sources FROM i JOIN x ON i.brand = x.brand AND (x.size IS NULL OR x.size = i.size) GROUP BY item""")
+@Q.query("""WITH x AS (SELECT p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN p_size END AS size FROM part), k AS (SELECT brand, size, count(*) AS n FROM x GROUP BY ALL)
+SELECT p_partkey AS item, CAST(sum(n) AS BIGINT) AS sources FROM part JOIN k ON brand = p_brand AND (size IS NULL OR size = p_size) GROUP BY p_partkey""")
 def join_mergeable_sources(spark, sf_dir):
-    """Items meet sources whose known fields agree: an equality on what is always known, the rest as a condition."""
+    """For each item the number of sources whose known fields agree with it."""
     p = table(spark, sf_dir, "part")
-    i = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"), F.col("p_size").alias("i_size"))
-    x = p.select(F.col("p_brand").alias("brand"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_size")).alias("x_size"))
-    return i.join(x, "brand").where("x_size is null or x_size = i_size").groupBy("item").agg(F.count("*").alias("sources"))
+    i = p.select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    x = p.select(F.col("p_brand").alias("brand"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_size")).alias("size"))
+    return S.agreeing_sources(i, x, ["brand"], "size", "sources").where("sources > 0").select("item", "sources")
 
 
 @Q.query("""WITH d AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9000) SELECT n_name AS domain, count(*) AS urls FROM d JOIN nation ON n_nationkey = k JOIN supplier ON s_nationkey = k GROUP BY n_name""")

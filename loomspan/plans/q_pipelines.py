@@ -16,15 +16,15 @@ from .registry import Registry, table
 Q = Registry()
 
 
-@Q.query("""WITH s AS (SELECT 0 AS a, page_id AS b, url, CASE WHEN page_id % 3 = 0 THEN 't' || page_id END AS title FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT 1, page_id, url, 's' || page_id FROM pages WHERE page_id % 5 = 0),
-c AS (SELECT * FROM s ORDER BY a, b, url LIMIT 5000), u AS (SELECT a, b, title, trim(regexp_replace(split_part(url, '?', 1), '/$', '')) AS url FROM c),
-k AS (SELECT * FROM u WHERE regexp_extract(url, '^[^:]*://([^/?#:]*)', 1) LIKE '%example.com'), r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY title IS NULL, a, b) AS n FROM k)
-SELECT url, title FROM r WHERE n = 1""")
+@Q.query("""WITH s AS (SELECT 0 AS a, page_id AS b, url, CASE WHEN page_id % 3 = 0 THEN 't' || page_id END AS title FROM pages UNION ALL SELECT 1, page_id, url || CASE WHEN page_id % 5 = 0 THEN '/more' ELSE '' END, 's' || page_id FROM pages),
+u AS (SELECT a, b, title, url AS given, trim(regexp_replace(split_part(url, '?', 1), '/$', '')) AS url FROM s), k AS (SELECT * FROM u WHERE regexp_extract(url, '^[^:]*://([^/?#:]*)', 1) LIKE '%example.com' ORDER BY a, b, given LIMIT 100000),
+r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY title IS NULL, a, b) AS n FROM k) SELECT url, title FROM r WHERE n = 1""")
 def map_site_inventory(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
-    index = p.where("page_id % 2 = 0").select("url", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("t"), F.col("page_id").cast("string"))).alias("title"), F.col("page_id").alias("pos"))
-    sitemap = p.where("page_id % 5 = 0").select("url", F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("title"), F.col("page_id").alias("pos"))
-    return crawl.map_site([index, sitemap], "https://example.com/").select("url", "title")
+    index = p.select("url", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("t"), F.col("page_id").cast("string"))).alias("title"), F.col("page_id").alias("pos"))
+    more = F.concat("url", F.when(F.col("page_id") % 5 == 0, "/more").otherwise(""))
+    sitemap = p.select(more.alias("url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("title"), F.col("page_id").alias("pos"))
+    return crawl.map_site([index, sitemap], "https://example.com/", limit=100_000).select("url", "title")
 
 
 @Q.query()
@@ -39,12 +39,12 @@ UNION ALL SELECT 'https://site.example.com/p' || page_id, 'https://www.site.exam
 
 
 @Q.query("""WITH RECURSIVE e AS (SELECT page_id AS s, page_id * 3 + 1 AS d FROM pages WHERE page_id % 10 NOT IN (7, 8) UNION ALL SELECT page_id, page_id * 3 + 2 FROM pages WHERE page_id % 10 <> 9),
-w(id, depth) AS (SELECT CAST(0 AS BIGINT), 0 UNION SELECT e.d, w.depth + 1 FROM w JOIN e ON e.s = w.id WHERE w.depth < 4) SELECT id, min(depth) AS depth FROM w GROUP BY id""")
+w(id, depth) AS (SELECT CAST(0 AS BIGINT), 0 UNION SELECT e.d, w.depth + 1 FROM w JOIN e ON e.s = w.id WHERE w.depth < 10) SELECT id, min(depth) AS depth FROM w GROUP BY id""")
 def crawl_site(spark, sf_dir):
-    table(spark, sf_dir, "pages").createOrReplaceTempView("pages")
+    graph = spark.sql(GRAPH.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages"))
     scope = Scope("https://site.example.com/", "https://site.example.com/", allow_backward=True)
     seeds = spark.createDataFrame([("https://site.example.com/p0",)], "url string")
-    seen = crawl.crawl(spark.sql(GRAPH), seeds, scope, max_discovery_depth=4)
+    seen = crawl.crawl(graph, seeds, scope)
     return seen.select(F.regexp_extract("url", r"/p(\d+)/?$", 1).cast("long").alias("id"), "depth")
 
 

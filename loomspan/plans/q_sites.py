@@ -37,15 +37,21 @@ def pdf_routing(spark, sf_dir):
     return p.select("id", "reason", S.pdf_route(F.col("mode"), F.col("reason")).alias("route"), "pages")
 
 
-@Q.query("""WITH c AS (SELECT p_brand AS page, p_type AS file, CASE WHEN p_size % 2 = 0 THEN 'header' ELSE 'body' END AS place, p_size % 3 <> 0 AS visible, p_size * 10 AS y, p_size % 5 = 0 AS says, p_size % 11 = 0 AS brand FROM part),
-g AS (SELECT *, count(*) OVER (PARTITION BY page, file) AS variants FROM c), l AS (SELECT page, file, count(DISTINCT place) AS locations FROM c GROUP BY ALL),
-s AS (SELECT g.page, g.file, max(CASE WHEN visible THEN 15 ELSE -25 END + CASE WHEN place = 'header' THEN 20 ELSE 0 END + CASE WHEN y < 200 THEN 10 ELSE 0 END + CASE WHEN says THEN 8 ELSE 0 END + CASE WHEN brand THEN 20 ELSE 0 END + CASE WHEN locations >= 2 THEN 15 ELSE 0 END + CASE WHEN variants >= 2 THEN 8 ELSE 0 END) AS score FROM g JOIN l ON g.page = l.page AND g.file = l.file GROUP BY ALL),
-r AS (SELECT *, row_number() OVER w AS n, lead(score) OVER w AS second FROM s WINDOW w AS (PARTITION BY page ORDER BY score DESC, file))
-SELECT page, file, score, CASE WHEN score >= 50 AND score - coalesce(second, 0) >= 15 THEN 'high' WHEN score >= 25 AND score - coalesce(second, 0) >= 5 THEN 'medium' ELSE 'low' END AS confidence FROM r WHERE n = 1""")
+#: Candidates of the pages: files repeat, and places lie apart, so that a file is an image.
+LOGOS = """SELECT p_brand AS page, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INT) AS idx, 'https://s/' || p_type || '-' || p_size % 4 || '.png?' || p_partkey AS src, CASE WHEN p_size % 11 = 0 THEN p_type || ' ' || p_partkey END AS alt, CASE p_size % 4 WHEN 0 THEN 'header' WHEN 1 THEN 'footer' ELSE 'body' END AS location,
+25 * row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS top, p_size * 20 AS left, p_size * 12 AS width, p_size * 7 AS height, p_size % 3 <> 0 AS visible, CASE WHEN p_size % 5 <> 0 THEN '/' END AS href, p_size % 7 = 0 AS home_link, p_size % 4 = 0 AND p_size % 8 = 0 AS in_header, p_size % 11 = 0 AS alt_match, p_size % 13 = 0 AS src_match, p_size % 6 = 0 AS class_match, p_size % 9 = 0 AS is_svg, p_type AS brand FROM part"""
+
+
+@Q.query(f"""WITH c AS ({LOGOS}), f AS (SELECT *, regexp_extract(split_part(src, '?', 1), '([^/]*)$', 1) AS file FROM c), l AS (SELECT page, file, count(DISTINCT location) > 1 AS repeated, count(*) > 1 AS variants FROM f GROUP BY ALL), t AS (SELECT page, min(top) AS highest FROM f GROUP BY page),
+b AS (SELECT f.*, l.repeated, l.variants, t.highest, row_number() OVER (PARTITION BY f.page, f.file ORDER BY NOT visible, NOT in_header, top, NOT home_link, idx) AS n FROM f JOIN l ON f.page = l.page AND f.file = l.file JOIN t ON f.page = t.page),
+s AS (SELECT page, idx, 15 * repeated::INT + 8 * variants::INT + CASE WHEN home_link AND in_header THEN 50 WHEN home_link THEN 35 WHEN in_header THEN 25 ELSE 0 END - CASE WHEN href IS NULL THEN 15 ELSE 0 END + CASE WHEN location = 'header' THEN 20 ELSE 0 END + CASE WHEN visible THEN 15 ELSE -25 END + CASE WHEN top < 100 AND "left" < 300 THEN 10 ELSE 0 END + CASE WHEN top = highest AND top < 200 THEN 12 ELSE 0 END
++ 8 * alt_match::INT + 5 * src_match::INT + 5 * class_match::INT + CASE WHEN alt IS NULL THEN 0 WHEN lower(alt) = lower(brand) THEN 20 WHEN contains(lower(alt), lower(brand)) THEN 12 ELSE 0 END + CASE WHEN contains(lower(src), lower(brand)) THEN 6 ELSE 0 END
++ CASE WHEN width * height > 1000 AND width * height < 50000 THEN 5 WHEN width * height < 500 THEN -8 WHEN width * height BETWEEN 50000 AND 200000 THEN -10 WHEN width * height > 200000 THEN -20 ELSE 0 END - CASE WHEN abs(width - height) < 5 AND (width < 40 OR height < 40) THEN 12 ELSE 0 END + 3 * is_svg::INT - CASE location WHEN 'footer' THEN 15 WHEN 'body' THEN CASE WHEN in_header THEN 0 ELSE 10 END ELSE 0 END AS score FROM b WHERE n = 1),
+r AS (SELECT *, row_number() OVER w AS n, coalesce(lead(score) OVER w, 0) AS second FROM s WINDOW w AS (PARTITION BY page ORDER BY score DESC, idx))
+SELECT page, idx, CAST(score AS INT) AS score, CASE WHEN score >= 60 AND score - second >= 20 THEN 0.9 WHEN score >= 45 AND score - second >= 15 THEN 0.75 WHEN score >= 30 THEN 0.6 ELSE 0.4 END::DOUBLE AS confidence FROM r WHERE n = 1""")
 def logo_choice(spark, sf_dir):
-    s = F.col("p_size")
-    c = table(spark, sf_dir, "part").select(F.col("p_brand").alias("page"), F.col("p_type").alias("file"), F.when(s % 2 == 0, "header").otherwise("body").alias("place"), (s % 3 != 0).alias("visible"), (s * 10).alias("y"), (s % 5 == 0).alias("says_logo"), (s % 11 == 0).alias("brand_alt"))
-    return B.pick_logo(c)
+    c = spark.sql(LOGOS.replace("FROM part", "FROM {part}").replace(" AS left", " AS `left`"), part=table(spark, sf_dir, "part"))
+    return B.pick_logo(c, brand="brand")
 
 
 @Q.query("""WITH a AS (SELECT event_id // 4 AS url, event_id % 4 AS rank, 'engine' || event_id % 4 AS engine, event_id % 3 <> 0 AS ok FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY rank) AS n FROM a WHERE ok) SELECT url, rank, engine FROM r WHERE n = 1""")

@@ -3,6 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loomspan.operators import brand as B
+from loomspan.operators import doc_quality as DQ
 from loomspan.operators import tallies as T
 
 from .registry import Registry, table
@@ -92,12 +94,21 @@ def precrawl_quotas(spark, sf_dir):
     return x.select("domain", "priority", F.floor(10 + share * 40 + 0.5).cast("long").alias("urls"), F.floor(F.col("priority") / F.col("total") * T.precrawl_budget(F.col("n"))).cast("long").alias("budget"))
 
 
-@Q.query("""WITH r AS (SELECT user_id % 40 AS domain, value AS similarity, event_id % 10 < 7 AS tls_ok, event_id % 10 < 9 AS cdp_ok FROM events), g AS (SELECT domain, count(*) AS n, count(*) FILTER (tls_ok AND similarity >= 50) AS same, count(*) FILTER (NOT cdp_ok) AS failed FROM r GROUP BY domain)
-SELECT domain, n, same, failed, CASE WHEN failed / n > 0.5 THEN 'uncertain' WHEN same / n >= 0.3 THEN 'tls_ok' ELSE 'browser_required' END AS verdict FROM g""")
+RESULTS = """SELECT user_id AS site, CASE WHEN event_id % 9 <> 0 THEN event_type || ' ' || event_id END AS browser, CASE WHEN event_id % 10 = 0 THEN 'stealth ' || event_id ELSE CASE WHEN event_id % 27 = 0 THEN '' END END AS browser_stealth, CASE WHEN event_id % 8 <> 0 THEN event_type || CASE WHEN event_id % 3 = 0 THEN ' x' ELSE ' ' END || event_id END AS light, CASE WHEN event_id % 16 = 0 THEN event_type || ' ' || event_id END AS light_stealth FROM events"""
+
+
+@Q.query(f"""WITH r AS ({RESULTS}), p AS (SELECT site, coalesce(browser_stealth, browser, '') AS g, coalesce(light_stealth, light, '') AS l FROM r), o AS (SELECT site, g = '' AS failed, CASE WHEN g <> '' AND l <> '' THEN 1 - levenshtein(g, l) / greatest(strlen(g), strlen(l)) END AS s FROM p),
+c AS (SELECT site, count(*) AS total, count(*) FILTER (failed) AS failed, count(*) FILTER (NOT failed AND s >= 0.9) AS sufficient, count(*) FILTER (NOT failed AND (s IS NULL OR s < 0.9)) AS insufficient FROM o GROUP BY site)
+SELECT *, CASE WHEN failed / total > 0.12 OR total = failed THEN 'Uncertain' WHEN sufficient / (total - failed) >= 0.7 THEN 'TlsClientOk' ELSE 'ChromeCdpRequired' END AS verdict FROM c""")
 def engine_verdict(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("domain"), F.col("value").alias("similarity"), (F.col("event_id") % 10 < 7).alias("tls_ok"), (F.col("event_id") % 10 < 9).alias("cdp_ok"))
-    g = e.groupBy("domain").agg(F.count("*").alias("n"), F.count_if(F.col("tls_ok") & (F.col("similarity") >= 50)).alias("same"), F.count_if(~F.col("cdp_ok")).alias("failed"))
-    return g.withColumn("verdict", F.when(F.col("failed") / F.col("n") > 0.5, "uncertain").when(F.col("same") / F.col("n") >= 0.3, "tls_ok").otherwise("browser_required"))
+    r = spark.sql(RESULTS.replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events"))
+    return T.engine_verdict(r, "site", similarity=0.9, success_rate=0.7, failure_rate=0.12)
+
+
+@Q.query("SELECT user_id AS request, CAST(sum(coalesce(CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END, 0)) AS BIGINT) AS credits FROM events GROUP BY user_id")
+def search_scrape_credits(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("request"), F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 7).alias("credits_used"))
+    return T.scrape_credit_sum(e, ["request"])
 
 
 @Q.query("""WITH d AS (SELECT page_id AS pos, 'https://s' || page_id % 60 AS url, CASE WHEN page_id % 4 = 0 THEN 'T' || page_id END AS title FROM pages),
@@ -121,27 +132,31 @@ def item_provenance(spark, sf_dir):
     return p.groupBy("item").agg(F.array_sort(F.collect_set("url")).alias("sources"), F.count("*").alias("n"))
 
 
-@Q.query("""WITH c AS (SELECT '#' || upper(substr(md5(p_brand), 1, 6)) AS hex, CASE p_size % 3 WHEN 0 THEN 0.5 + log10(p_size + 10) WHEN 1 THEN 1 ELSE 0.3 END AS w FROM part), s AS (SELECT hex, sum(w) AS weight FROM c GROUP BY hex)
-SELECT hex, weight, CAST(row_number() OVER (ORDER BY round(weight, 6) DESC, hex) AS INT) AS place, (299 * ('0x' || substr(hex, 2, 2))::INT + 587 * ('0x' || substr(hex, 4, 2))::INT + 114 * ('0x' || substr(hex, 6, 2))::INT) / 1000.0 AS yiq FROM s""")
+@Q.query("""WITH c AS (SELECT p_type AS site, '#' || upper(substr(md5(p_brand), 1, 6)) AS hex, CASE p_size % 3 WHEN 0 THEN 0.5 + log10(p_size + 10) WHEN 1 THEN 1 ELSE 0.3 END AS w FROM part), s AS (SELECT site, hex, sum(w) AS weight FROM c GROUP BY ALL)
+SELECT site, hex, weight, CAST(row_number() OVER (PARTITION BY site ORDER BY round(weight, 6) DESC, hex) AS INT) AS place, (299 * ('0x' || substr(hex, 2, 2))::INT + 587 * ('0x' || substr(hex, 4, 2))::INT + 114 * ('0x' || substr(hex, 6, 2))::INT) / 1000.0 AS yiq FROM s""")
 def brand_palette(spark, sf_dir):
-    p, s = table(spark, sf_dir, "part"), F.col("p_size")
+    s = F.col("p_size")
     w = F.when(s % 3 == 0, 0.5 + F.log10(s + 10)).when(s % 3 == 1, 1.0).otherwise(0.3)
-    g = p.select(F.concat(F.lit("#"), F.upper(F.substring(F.md5("p_brand"), 1, 6))).alias("hex"), w.alias("w")).groupBy("hex").agg(F.sum("w").alias("weight"))
+    c = table(spark, sf_dir, "part").select(F.col("p_type").alias("site"), F.concat(F.lit("#"), F.upper(F.substring(F.md5("p_brand"), 1, 6))).alias("hex"), w.alias("weight"))
+    return B.palette(c)
 
-    def channel(k):
-        return F.conv(F.substring("hex", k, 2), 16, 10).cast("int")
 
-    place = F.row_number().over(Window.orderBy(F.round("weight", 6).desc(), "hex"))  # a palette has a few hundred colours
-    return g.withColumn("place", place).withColumn("yiq", (channel(2) * 299 + channel(4) * 587 + channel(6) * 114) / 1000.0)
+@Q.query("""WITH v AS (SELECT p_partkey % 97 AS site, CASE WHEN p_partkey % 97 % 3 = 0 THEN p_size * 6 WHEN p_partkey % 97 % 3 = 1 THEN p_size * 2.5 ELSE 5 + p_partkey // 97 % 3 * 0.5 END::DOUBLE AS v, CASE WHEN p_partkey % 97 % 5 <> 0 THEN p_size / 2 END AS r FROM part),
+g AS (SELECT site, list(CAST(floor(v + 0.5) AS INT)) FILTER (v > 0 AND v <= 128) AS l, list_sort(list(r) FILTER (r IS NOT NULL)) AS rs FROM v GROUP BY site),
+f AS (SELECT site, list_sort(l) AS l, rs, list_extract(list_filter([4, 6, 8, 10, 12], lambda c: len(list_filter(l, lambda x: x % c <= 1 OR x % c >= c - 1)) / len(l) >= 0.6), 1) AS c FROM g)
+SELECT site, CASE WHEN l IS NULL THEN 8 ELSE coalesce(c, greatest(2, least(12, CAST(floor(l[len(l) // 2 + 1] / 2 + 0.5) AS INT) * 2))) END AS base_unit, CASE WHEN rs IS NULL THEN '8px' ELSE CAST(floor(rs[len(rs) // 2 + 1] + 0.5) AS INT) || 'px' END AS radius FROM f""")
+def brand_spacing(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    site = k % 97
+    v = F.when(site % 3 == 0, s * 6.0).when(site % 3 == 1, s * 2.5).otherwise(5 + F.floor(k / 97) % 3 * 0.5)
+    g = table(spark, sf_dir, "part").select(site.alias("site"), v.alias("v"), F.when(site % 5 != 0, s / 2).alias("r")).groupBy("site").agg(F.collect_list("v").alias("v"), F.collect_list("r").alias("r"))
+    return g.select("site", B.spacing_unit(F.col("v")).alias("base_unit"), B.corner_radius(F.col("r")).alias("radius"))
 
 
-@Q.query("""WITH s AS (SELECT p_brand AS site, p_size AS v FROM part), g AS (SELECT site, list_sort(list(v)) AS l, list(v) AS vs FROM s GROUP BY site)
-SELECT site, coalesce(list_extract(list_filter([4, 6, 8, 10, 12], lambda u: len(list_filter(l, lambda x: x % u = 0)) >= 0.6 * len(l)), 1), l[len(l) // 2 + 1]) AS base_unit, l[len(l) // 2 + 1] AS median FROM g""")
-def brand_spacing(spark, sf_dir):
-    g = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("site")).agg(F.sort_array(F.collect_list("p_size")).alias("l"))
-    median = F.get("l", F.floor(F.size("l") / 2).cast("int"))  # the upper one of two
-    fits = F.filter(F.array(*[F.lit(u) for u in (4, 6, 8, 10, 12)]), lambda u: F.size(F.filter("l", lambda x: x % u == 0)) >= 0.6 * F.size("l"))
-    return g.select("site", F.coalesce(F.get(fits, F.lit(0)), median).alias("base_unit"), median.alias("median"))
+@Q.query("""WITH f AS (SELECT p_brand AS site, split_part(p_name, ' ', 1) AS family, p_partkey AS pos FROM part), c AS (SELECT site, family, count(*) AS count, min(pos) AS pos FROM f GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY count DESC, pos) AS place FROM c) SELECT site, family, count, CAST(place AS INT) AS place FROM r WHERE place <= 10""")
+def brand_fonts(spark, sf_dir):
+    f = table(spark, sf_dir, "part").select(F.col("p_brand").alias("site"), F.substring_index("p_name", " ", 1).alias("family"), F.col("p_partkey").alias("at"))
+    return B.top_fonts(f)
 
 
 @Q.query("SELECT c_custkey AS team, least(greatest(CAST(c_acctbal AS BIGINT) * 2000, 50000), 2000000) AS queue_limit, CASE WHEN c_custkey % 100 <= 20 THEN 10 ELSE CAST(ceil(10 + ceil((c_custkey % 100 - 20) * 0.25)) AS BIGINT) END AS priority, CASE WHEN c_custkey <= 900 THEN '15m' WHEN c_custkey <= 1800 THEN '30m' WHEN c_custkey <= 3600 THEN 'hourly' WHEN c_custkey <= 21600 THEN 'sub_daily' WHEN c_custkey <= 86400 THEN 'daily' WHEN c_custkey <= 604800 THEN 'weekly' ELSE 'other' END AS bucket FROM customer")
@@ -152,10 +167,12 @@ def team_limits(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("team"), T.queue_limit(F.bround("c_acctbal").cast("long")).alias("queue_limit"), T.job_priority(F.lit(10), n, F.lit(20), F.lit(0.25)).alias("priority"), T.frequency_bucket(F.col("c_custkey")).alias("bucket"))
 
 
-@Q.query("SELECT c_mktsegment AS kind, CAST(sum(CASE c_mktsegment WHEN 'BUILDING' THEN 1 ELSE c_nationkey END) AS BIGINT) AS credits, count(*) AS targets FROM customer GROUP BY c_mktsegment")
+@Q.query("SELECT c_custkey % 20 AS monitor_id, CAST(sum(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_nationkey ELSE greatest(1, coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey * 10 END, 10000)) END) AS BIGINT) AS credits, count(*) AS targets FROM customer GROUP BY 1")
 def monitor_credit_estimate(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    return c.groupBy(F.col("c_mktsegment").alias("kind")).agg(F.sum(F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(F.col("c_nationkey"))).cast("long").alias("credits"), F.count("*").alias("targets"))
+    kind = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "scrape").otherwise("crawl")
+    t = c.select((F.col("c_custkey") % 20).alias("monitor_id"), kind.alias("type"), F.array_repeat(F.lit("u"), F.col("c_nationkey").cast("int")).alias("urls"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey") * 10).alias("limit"))
+    return T.monitor_credits(t)
 
 
 @Q.query("""WITH l AS (SELECT doc_id, trim(unnest(string_split(coalesce(text, ''), chr(10)))) AS line FROM documents), g AS (SELECT doc_id, line, count(*) AS c FROM l WHERE length(line) >= 8 GROUP BY ALL)
@@ -167,16 +184,37 @@ def repeated_line_ratio(spark, sf_dir):
     return g.groupBy("doc_id").agg(F.round(F.sum(F.col("c") - 1) / F.sum("c"), 4).alias("repeated_ratio"), F.sum(F.when(piped, F.col("c")).otherwise(0)).alias("table_lines"))
 
 
-@Q.query("""WITH p AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS page FROM documents), w AS (SELECT doc_id, page, len(list_filter(regexp_split_to_array(page, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS words FROM p),
-g AS (SELECT doc_id, count(*) AS pages, count(*) FILTER (words = 0) AS empty_pages, count(*) FILTER (words BETWEEN 1 AND 24) AS low_pages, count(*) - count(DISTINCT page) AS repeated_pages FROM w GROUP BY doc_id)
-SELECT *, (empty_pages / pages > 0.5)::INT + (low_pages / pages > 0.5)::INT + (repeated_pages / pages > 0.2)::INT >= 1 AS low_quality FROM g""")
+def _normal(x):
+    """The SQL of a normalised line."""
+    for pattern, by in ((r"https?://\S+", ""), (r"\d{1,4}[-/:]\d{1,2}[-/:]\d{1,4}", ""), (r"[ \t\n\r\x0B\x0C]+", " "), ("[^a-z0-9 ]+", "")):
+        x = f"regexp_replace({x}, '{pattern}', '{by}', 'g')" if "lower(" in x else f"regexp_replace(lower({x}), '{pattern}', '{by}', 'g')"
+    return f"trim({x})"
+
+
+def _families(x):
+    hit = " , ".join("CASE WHEN " + " + ".join(f"contains({x}, '{t}')::INT" for t in terms) + f" >= 2 THEN '{name}' END" for name, terms in DQ.FAMILIES.items())
+    return f"list_filter([{hit}], lambda f: f IS NOT NULL)"
+
+
+WHITE = r"^[\t\n\x0B\x0C\r ]+|[\t\n\x0B\x0C\r ]+$"
+#: Documents whose pages end with a form feed: every second line, and a publisher's note for some.
+RENDERED = """SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 4 = 0 THEN chr(12) || 'Downloaded from the Wiley Online Library, 2020-01-02' || chr(12) || chr(12) || chr(12) || chr(12) || 'x' WHEN doc_id % 4 = 1 THEN chr(12) || coalesce(text, '') || chr(12) ELSE '' END || CASE WHEN doc_id % 8 = 0 THEN repeat(chr(12), 40) ELSE '' END AS text, CAST(CASE WHEN doc_id % 5 = 0 THEN 9 END AS INT) AS expected FROM documents"""
+
+
+@Q.query(rf"""WITH d AS ({RENDERED}), p AS (SELECT doc_id, expected, text, regexp_replace(text, '{WHITE}', '', 'g') AS whole, list_transform(string_split(text, chr(12)), lambda x: regexp_replace(x, '{WHITE}', '', 'g')) AS parts FROM d),
+q AS (SELECT doc_id, expected, text, length(whole) AS total_chars, CASE WHEN contains(text, chr(12)) THEN list_concat(parts, list_transform(range(greatest(coalesce(expected, 0) - len(parts), 0)), lambda i: '')) WHEN whole = '' THEN []::VARCHAR[] ELSE [whole] END AS pages FROM p),
+l AS (SELECT doc_id, regexp_replace(unnest(regexp_split_to_array(text, '\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{{85}}\x{{2028}}\x{{2029}}]')), '{WHITE}', '', 'g') AS line FROM d), n AS (SELECT doc_id, length(line) AS chars, {_normal('line')} AS normal FROM l WHERE line <> ''),
+g AS (SELECT doc_id, normal, count(*) AS times, sum(chars) AS chars, {_families('normal')} AS families FROM n GROUP BY doc_id, normal),
+b AS (SELECT doc_id, sum(chars) AS line_chars, sum(CASE WHEN length(normal) >= 30 AND times > 1 THEN chars ELSE 0 END) AS repeated, sum(CASE WHEN len(families) > 0 THEN chars ELSE 0 END) AS publisher, list_sort(list_distinct(flatten(list(families)))) AS families FROM g GROUP BY doc_id),
+e AS (SELECT doc_id, {_normal('page')} AS page FROM (SELECT doc_id, unnest(pages) AS page FROM q)), c AS (SELECT doc_id, sum(n) AS long_pages, sum(n - 1) AS repeated_pages FROM (SELECT doc_id, page, count(*) AS n FROM e WHERE length(page) >= 80 GROUP BY ALL) GROUP BY doc_id),
+j AS (SELECT q.doc_id, total_chars, len(pages) AS pages, len(list_filter(pages, lambda x: x = '')) AS empty_pages, coalesce(repeated, 0) / greatest(coalesce(line_chars, 0), 1) AS rr, coalesce(publisher, 0) / greatest(coalesce(line_chars, 0), 1) AS pr, coalesce(repeated_pages, 0) AS repeated_pages, coalesce(repeated_pages, 0) / greatest(coalesce(long_pages, 0), 1) AS rp, total_chars / greatest(coalesce(expected, len(pages)), 1) AS cp, coalesce(b.families, []) AS families FROM q LEFT JOIN b ON q.doc_id = b.doc_id LEFT JOIN c ON q.doc_id = c.doc_id),
+k AS (SELECT *, CASE WHEN pages > 0 THEN empty_pages / pages ELSE 1 END AS er FROM j), w AS (SELECT *, pages >= 5 AND er > 0.8 AS w1, rr > 0.5 AS w2, pr > 0.45 AS w3, rp > 0.25 AS w4, pages >= 4 AND cp < 200 AS w5 FROM k)
+SELECT doc_id, total_chars, CAST(pages AS INT) AS pages, CAST(empty_pages AS INT) AS empty_pages, round(er, 4)::DOUBLE AS empty_page_ratio, round(cp, 2)::DOUBLE AS chars_per_page, round(rr, 4)::DOUBLE AS repeated_ratio, round(pr, 4)::DOUBLE AS publisher_ratio, CAST(repeated_pages AS BIGINT) AS repeated_pages, round(rp, 4)::DOUBLE AS repeated_page_ratio, families,
+list_filter([CASE WHEN w1 THEN 'most_pages_empty' END, CASE WHEN w2 THEN 'repeated_text_dominates' END, CASE WHEN w3 THEN 'publisher_boilerplate_dominates' END, CASE WHEN w4 THEN 'repeated_pages_detected' END, CASE WHEN w5 THEN 'very_low_text_density' END], lambda x: x IS NOT NULL) AS warnings,
+(w1 AND total_chars < greatest(12000, pages * 900)) OR w3 OR ((w2 OR w4) AND total_chars < greatest(12000, pages * 700)) OR w5 AS low_quality FROM w""")
 def document_quality(spark, sf_dir):
-    p = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("page"))
-    w = p.withColumn("words", F.regexp_count("page", F.lit(r"[^\x20\x09-\x0D]+")))
-    g = w.groupBy("doc_id").agg(F.count("*").alias("pages"), F.count_if(F.col("words") == 0).alias("empty_pages"), F.count_if(F.col("words").between(1, 24)).alias("low_pages"), (F.count("*") - F.countDistinct("page")).alias("repeated_pages"))
-    n = F.col("pages")
-    flags = sum((F.col(c) / n > t).cast("int") for c, t in (("empty_pages", 0.5), ("low_pages", 0.5), ("repeated_pages", 0.2)))
-    return g.withColumn("low_quality", flags >= 1)
+    d = spark.sql(RENDERED.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
+    return DQ.judge(d, "\f", "doc_id", expected="expected")
 
 
 @Q.query("SELECT source, count(*) FILTER (doc_id % 9 = 0) AS blocked, CASE WHEN count(*) FILTER (doc_id % 9 = 0) > 0 THEN count(*) FILTER (doc_id % 9 = 0) || ' URLs were not crawled because of robots.txt' END AS warning FROM documents GROUP BY source")

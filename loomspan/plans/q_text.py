@@ -1,7 +1,5 @@
 """Queries of text, diff, schedule and cost functions."""
 
-from datetime import timezone
-
 from pyspark.sql import functions as F
 
 from loomspan.functions import text as X
@@ -24,14 +22,16 @@ def text_word_jaccard(spark, sf_dir):
     return b.join(n, "item_id").select("item_id", X.word_jaccard(F.col("text"), F.col("other")).alias("jaccard"))
 
 
-@Q.query("""WITH d AS (SELECT doc_id, coalesce(text, '') || ' 12 3.5 ' || doc_id AS a, substr(coalesce(text, ''), 1, (length(text) * 9) // 10) || ' 12 ' || doc_id AS b FROM documents),
-n AS (SELECT doc_id, length(a) / length(b) AS r, list_distinct(regexp_extract_all(a, '(\\d+(?:\\.\\d+)?)', 1)) AS x, list_distinct(regexp_extract_all(b, '(\\d+(?:\\.\\d+)?)', 1)) AS y FROM d),
-k AS (SELECT doc_id, r, CASE WHEN len(y) = 0 THEN 1 ELSE len(list_intersect(x, y)) / len(y) END AS k FROM n)
-SELECT doc_id, round(r, 6)::DOUBLE AS length_ratio, round(k, 6)::DOUBLE AS numbers_kept, CASE WHEN r BETWEEN 0.8 AND 1.25 AND k >= 0.95 THEN 'pass' WHEN r BETWEEN 0.5 AND 2 AND k >= 0.8 THEN 'warn' ELSE 'fail' END AS grade FROM k""")
+SIDES = """SELECT doc_id, coalesce(text, '') || ' 12 3.5 ' || doc_id || CASE WHEN doc_id % 3 = 0 THEN chr(10) || '| a |' || chr(10) || '|-|' || chr(10) || '| :--- | ---: |' || chr(10) ELSE '' END AS a,
+CASE WHEN doc_id % 7 = 0 THEN '' ELSE substr(coalesce(text, ''), 1, CAST(floor(length(coalesce(text, '')) * (doc_id % 5 + 1) / 4) AS INT)) || CASE WHEN doc_id % 2 = 0 THEN ' 12 ' || doc_id ELSE '' END END AS b FROM documents"""
+
+
+@Q.query(rf"""WITH d AS ({SIDES}), n AS (SELECT doc_id, a, b, length(a) + len(regexp_extract_all(a, '[\x{{10000}}-\x{{10FFFF}}]')) AS x, length(b) + len(regexp_extract_all(b, '[\x{{10000}}-\x{{10FFFF}}]')) AS y, list_distinct(regexp_extract_all(a, '\d+(?:\.\d+)?')) AS p, list_distinct(regexp_extract_all(b, '\d+(?:\.\d+)?')) AS q FROM d),
+k AS (SELECT *, CASE WHEN y > 0 THEN x / y WHEN x > 0 THEN 0 ELSE 1 END AS r, CASE WHEN len(q) > 0 THEN len(list_intersect(p, q)) / len(q) WHEN len(p) > 0 THEN 0 ELSE 1 END AS s FROM n)
+SELECT doc_id, CAST(x AS INT) AS length, CAST(y AS INT) AS other_length, floor(r * 1000 + 0.5) / 1000 AS length_ratio, CAST(len(p) AS INT) AS numbers, CAST(len(q) AS INT) AS other_numbers, floor(s * 1000 + 0.5) / 1000 AS numbers_kept,
+CAST(len(regexp_extract_all(a, '(?m)^\s*(?:\|\s*:?-+:?\s*)+\|\s*$')) AS INT) AS tables, CAST(len(regexp_extract_all(b, '(?m)^\s*(?:\|\s*:?-+:?\s*)+\|\s*$')) AS INT) AS other_tables, CASE WHEN r >= 0.8 AND s >= 0.9 THEN 'good' WHEN r >= 0.5 AND s >= 0.7 THEN 'acceptable' ELSE 'poor' END AS grade FROM k""")
 def text_compare_outputs(spark, sf_dir):
-    t = F.coalesce("text", F.lit(""))
-    i = F.col("doc_id").cast("string")
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(t, F.lit(" 12 3.5 "), i).alias("a"), F.concat(F.substring(t, F.lit(1), F.floor(F.length("text") * 9 / 10).cast("int")), F.lit(" 12 "), i).alias("b"))
+    d = spark.sql(SIDES.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
     return d.select("doc_id", X.compare_outputs(F.col("a"), F.col("b")).alias("c")).select("doc_id", "c.*")
 
 
@@ -41,13 +41,13 @@ def text_trim(spark, sf_dir):
     return d.select("doc_id", X.trim_tokens(F.coalesce("text", F.lit("")), 100).alias("trimmed"), X.without_page_marks(F.concat(F.lit("<|site-page-1-lllmstxt|>\n"), F.col("doc_id").cast("string"))).alias("unmarked"))
 
 
-@Q.query("""WITH m AS (SELECT l_orderkey AS id, l_linenumber AS n, CASE l_linenumber % 4 WHEN 0 THEN 'small' WHEN 1 THEN 'large' WHEN 2 THEN 'tiered' ELSE 'unknown' END AS model, CAST(l_partkey * 300 AS BIGINT) AS i, CAST(l_suppkey * 10 AS BIGINT) AS o FROM lineitem)
-SELECT model, round(sum(CASE model WHEN 'small' THEN (i * 0.15 + o * 0.6) / 1e6 WHEN 'large' THEN (i * 2.5 + o * 10) / 1e6 WHEN 'tiered' THEN CASE WHEN i > 200000 THEN (i * 2.5 + o * 15) / 1e6 ELSE (i * 1.25 + o * 10) / 1e6 END ELSE 0 END), 4)::DOUBLE AS cost FROM m GROUP BY model""")
+@Q.query("""WITH p(model, pi, po) AS (VALUES ('gpt-4o-mini', 0.15, 0.6), ('openai/gpt-4o', 2.5, 10), ('deepseek/deepseek-r1', 0.55, 2.19)), m AS (SELECT CASE l_linenumber % 5 WHEN 0 THEN 'gpt-4o-mini' WHEN 1 THEN 'openai/gpt-4o' WHEN 2 THEN 'google/gemini-2.5-pro-exp' WHEN 3 THEN 'deepseek/deepseek-r1' ELSE 'unknown' END AS model, CAST(l_partkey * 300 AS BIGINT) AS i, CAST(l_suppkey * 10 AS BIGINT) AS o FROM lineitem)
+SELECT model, round(sum(CASE WHEN contains(model, 'gemini-2.5-pro') THEN CASE WHEN i > 200000 THEN (i * 2.5 + o * 15) / 1e6 ELSE (i * 1.25 + o * 10) / 1e6 END ELSE (i * coalesce(pi, 0) + o * coalesce(po, 0)) / 1e6 END), 4)::DOUBLE AS cost FROM m LEFT JOIN p USING (model) GROUP BY model""")
 def llm_costs(spark, sf_dir):
-    n = F.col("l_linenumber") % 4
-    model = F.when(n == 0, "small").when(n == 1, "large").when(n == 2, "tiered").otherwise("unknown")
-    m = table(spark, sf_dir, "lineitem").select(model.alias("model"), X.llm_cost(model, F.col("l_partkey") * 300, F.col("l_suppkey") * 10).alias("c"))
-    return m.groupBy("model").agg(F.round(F.sum("c"), 4).alias("cost"))
+    n = F.col("l_linenumber") % 5
+    model = F.when(n == 0, "gpt-4o-mini").when(n == 1, "openai/gpt-4o").when(n == 2, "google/gemini-2.5-pro-exp").when(n == 3, "deepseek/deepseek-r1").otherwise("unknown")
+    m = table(spark, sf_dir, "lineitem").select(model.alias("model"), (F.col("l_partkey") * 300).alias("n_in"), (F.col("l_suppkey") * 10).alias("n_out"))
+    return X.with_llm_cost(m, X.price_table(spark)).groupBy("model").agg(F.round(F.sum("cost"), 4).alias("cost"))
 
 
 @Q.query("""WITH o AS (SELECT o_orderkey AS id, o_orderdate AS t, o_custkey * 1500 AS ttl FROM orders) SELECT id, t + to_microseconds(CAST(ttl * 1000 AS BIGINT)) AS expires_at FROM o""")
@@ -82,16 +82,13 @@ def json_leaf_diff(spark, sf_dir):
     return e.where("before is not null").select("event_id", F.explode(diff("before", "props")).alias("d")).select("event_id", "d.*")
 
 
-@Q.query("""SELECT o_orderkey AS id, date_trunc('hour', o_orderdate) + INTERVAL 1 HOUR AS hourly, date_trunc('day', o_orderdate) + INTERVAL 1 DAY AS daily FROM orders""")
+@Q.query("""SELECT o_orderkey AS id, date_trunc('hour', o_orderdate) + INTERVAL 1 HOUR AS hourly, date_trunc('day', o_orderdate) + INTERVAL 1 DAY AS daily, date_trunc('day', o_orderdate) + INTERVAL (CASE dayofweek(o_orderdate) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END) DAY + INTERVAL 9 HOUR AS workdays FROM orders""")
 def schedule_next(spark, sf_dir):
-    def nxt(expression):
-        def run(t):
-            return None if t is None else X.next_run(expression, t.replace(tzinfo=timezone.utc)).replace(tzinfo=None)
-
-        return F.udf(run, "timestamp_ntz")
-
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp_ntz").alias("t"))
-    return o.select("id", nxt(X.schedule_text("hourly"))("t").alias("hourly"), nxt(X.schedule_text("daily"))("t").alias("daily"))
+    t = F.col("o_orderdate").cast("timestamp_ntz")
+    hourly, daily = (X.next_runs(X.schedule_text(text), t) for text in ("hourly", "daily"))
+    # at nine the day after, on Monday to Friday: times before nine of a working day have their own day's run
+    at_nine = F.date_trunc("day", F.col("o_orderdate")).cast("timestamp_ntz") + F.expr("interval 9 hours")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), hourly.alias("hourly"), daily.alias("daily"), X.next_runs("0 9 * * 1-5", at_nine).alias("workdays"))
 
 
 @Q.query("""SELECT page_id, regexp_matches(hex(encode(substr(html, 1, 1024))), '^(..)*25504446') AS is_pdf, CASE WHEN regexp_matches(lower(url), '\\.odt$') THEN 'odt' WHEN regexp_matches(lower(url), '\\.rtf$') THEN 'rtf' WHEN regexp_matches(lower(url), '\\.xlsx?$') THEN 'xlsx' ELSE 'docx' END AS document_type FROM pages""")

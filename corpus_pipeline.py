@@ -27,12 +27,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is recognised, with lang set to it; learned from the labelled rows of this stage's input.
 
-    Rejected: texts without a letter, and those that no learned language fits,
-    where a phrase of the best one has fewer than two letters on average (a script
-    that was not learned comes to one, prose of a learned language to three and more).
+    Rejected: texts without a letter, and those whose script no learned language
+    has: a letter that occurs in no sample is a phrase of its own, so that the
+    best language has about one letter to a phrase. Texts of a learned language
+    have three and more, and 1.6 at least where most of a short one is numbers.
     """
     found = language_id.identify(docs.select(*COLUMNS), language_id.learn(docs))
-    fits = (F.col("lang_pred") != language_id.UND) & (F.col("letters_per_phrase") >= 2)
+    fits = (F.col("lang_pred") != language_id.UND) & (F.col("letters_per_phrase") >= 1.25)
     return found.where(fits).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

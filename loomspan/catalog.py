@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 FLAGSHIP = "map_site_inventory"
-MODULES = ("urls", "filters", "pages", "tallies", "ranking", "joins", "state", "text", "sites", "pipelines")
+MODULES = ("urls", "filters", "pages", "tallies", "ranking", "joins", "state", "text", "sites", "pipelines", "service")
 
 
 def _all():

@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterable, Iterator
 from html import escape, unescape
 from html.parser import HTMLParser
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import unquote, urljoin, urlsplit
 
 #: Elements without content; elements whose start ends an open one of the same kind.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -27,6 +27,10 @@ KEPT = ("#main", ".swoogo-cols", ".swoogo-text", ".swoogo-table-div", ".swoogo-s
 NOISE = ("head", "meta", "noscript", "style", "script")
 
 
+#: Elements nested deeper are taken as siblings, as browsers do beyond some hundreds, so that no walk is too deep.
+MOST_DEEP = 200
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children", "parent")
 
@@ -60,8 +64,15 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root")
+        self.depth: dict[int, int] = {id(self.root): 0}
+        self.beyond: list[str] = []  # open elements below MOST_DEEP; they become children of the deepest one
 
     def handle_starttag(self, tag, attrs):
+        if self.beyond:
+            self.at.children.append(Node(tag, {k: v if v is not None else "" for k, v in attrs}, self.at))
+            if tag not in VOID:
+                self.beyond.append(tag)
+            return
         ends = CLOSES.get(tag, set())
         if ends:
             n = self.at
@@ -75,7 +86,11 @@ class _Builder(HTMLParser):
         node = Node(tag, {k: v if v is not None else "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
-            self.at = node
+            deep = self.depth[id(self.at)] + 1
+            if deep < MOST_DEEP:
+                self.at, self.depth[id(node)] = node, deep
+            else:
+                self.beyond.append(tag)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -83,6 +98,11 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if self.beyond:
+            while tag in self.beyond:
+                if self.beyond.pop() == tag:
+                    return
+            return
         n = self.at
         while n.tag not in ("#root", tag):
             n = n.parent
@@ -267,30 +287,77 @@ def attributes(root: Node, selector: str, name: str) -> list[str]:
         return []
 
 
+def _index(root: Node) -> dict[str, list[Node]]:
+    """Nodes by tag, .class and #id, in document order: one walk for all simple selectors."""
+    by: dict[str, list[Node]] = {}
+    for n in root.walk():
+        for key in (n.tag, f"#{n.attrs['id']}" if "id" in n.attrs else None, *(f".{c}" for c in set(n.attrs.get("class", "").split()))):
+            if key:
+                by.setdefault(key, []).append(n)
+    return by
+
+
+def frame_selector(selector: str) -> str:
+    """A selector of iframes as it reads for the div that stands for an iframe."""
+    return re.sub(r"(^|[\s,])iframe(?=\s|$|[.#\[:,])", r'\1div[data-original-tag="iframe"]', selector)
+
+
+def _selected(root: Node, selector: str) -> list[Node]:
+    """select() for selectors of a request: iframes also as divs, nothing for one that isn't understood."""
+    try:
+        framed = frame_selector(selector)
+        return select(root, selector if framed == selector else f"{selector},{framed}")
+    except ValueError:
+        return []
+
+
+def frame_links(root: Node, url: str, most_deep: int = 5) -> list[str]:
+    """Links inside frames whose page stands in their own address (data:text/html), frames within frames too."""
+    out: dict[str, None] = {}
+    for n in root.walk():
+        src = n.attrs.get("src", "") if n.tag == "iframe" else ""
+        if src.startswith("data:text/html") and "," in src and most_deep:
+            inner = parse(unquote(src.split(",")[1]))
+            out |= dict.fromkeys([*links(inner, url), *frame_links(inner, url, most_deep - 1)])
+    return list(out)
+
+
+def without_signatures(root: Node, known: set[str]) -> Node:
+    """Without the elements whose signature() is known to repeat on the site. Changes the tree."""
+    for n in list(root.walk()):
+        if n.tag not in ("#root", "html", "body") and signature(n) in known:
+            n.drop()
+    return root
+
+
 def transform(root: Node, url: str, include: Iterable[str] = (), exclude: Iterable[str] = (), only_main: bool = True) -> Node:
     """Without noise and boilerplate, images at their largest, links absolute. Changes the tree."""
     if include := list(include):
         new = Node("#root")
         for sel in include:
-            for n in select(root, sel):
+            for n in _selected(root, sel):
                 copy = Node(n.tag, n.attrs, new)
                 copy.children = n.children
                 new.children.append(copy)
         root = new
     base = base_href(root, url)
-    for sel in (*NOISE, *exclude):
+    by = _index(root)
+    for sel in NOISE:
+        for n in by.get(sel, ()):
+            n.drop()
+    for sel in exclude:
         if m := re.fullmatch(r"\*(.*)\*", sel):
             rx = re.compile(m[1], re.I)
             nodes = [n for n in root.walk() if n.tag != "#root" and (rx.search(n.tag) or any(rx.search(f'{k}="{v}"') for k, v in n.attrs.items()))]
         else:
-            nodes = select(root, sel)
+            nodes = _selected(root, sel)
         for n in nodes:
             n.drop()
     if only_main:
-        keep = ",".join(KEPT)
+        kept = {id(n) for sel in KEPT for n in by.get(sel, ())}
         for sel in BOILERPLATE:
-            for n in select(root, sel):
-                if not any(x is not n for x in select(n, keep)):
+            for n in by.get(sel, ()):
+                if not (kept and any(id(x) in kept and x is not n for x in n.walk())):
                     n.drop()
     for n in root.walk():
         if n.tag == "img":
@@ -305,13 +372,21 @@ def transform(root: Node, url: str, include: Iterable[str] = (), exclude: Iterab
 
 
 def render(node: Node | str) -> str:
-    if isinstance(node, str):
-        return escape(node, quote=False)
-    inner = "".join(render(c) for c in node.children)
-    if node.tag == "#root":
-        return inner
-    attrs = "".join(f' {k}="{escape(v)}"' for k, v in node.attrs.items())
-    return f"<{node.tag}{attrs}>" + ("" if node.tag in VOID else f"{inner}</{node.tag}>")
+    out, stack = [], [node]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, tuple):
+            out.append(n[0])
+        elif isinstance(n, str):
+            out.append(escape(n, quote=False))
+        else:
+            if n.tag != "#root":
+                out.append(f"<{n.tag}" + "".join(f' {k}="{escape(v)}"' for k, v in n.attrs.items()) + ">")
+                if n.tag not in VOID:
+                    stack.append((f"</{n.tag}>",))
+            if n.tag not in VOID:
+                stack.extend(reversed(n.children))
+    return "".join(out)
 
 
 def inner_text(root: Node) -> str:

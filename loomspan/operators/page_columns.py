@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from loomspan.functions import html as H
 
 LISTS = {"links": "array<string>", "images": "array<string>"}
-KINDS = {"title": "string", "language": "string", "base_url": "string", "links": "array<string>", "images": "array<string>", "metadata": "map<string,array<string>>", "text": "string", "html": "string", "markdown": "string"}
+KINDS = {"frame_links": "array<string>", "signatures": "array<string>", "title": "string", "language": "string", "base_url": "string", "links": "array<string>", "images": "array<string>", "metadata": "map<string,array<string>>", "text": "string", "html": "string", "markdown": "string"}
 ARROW = {"array<string>": pa.list_(pa.string()), "map<string,array<string>>": pa.map_(pa.string(), pa.list_(pa.string())), "string": pa.string()}
 
 
-def _one(html: str | None, url: str, wanted: list[str], options: dict) -> dict:
+def _one(html: str | None, url: str, wanted: list[str], options: dict, repeated: list[str] | None = None) -> dict:
     root, out = H.parse(html), {}
     meta = H.metadata(root, url) if {"title", "language", "metadata"} & set(wanted) else {}
     out["metadata"] = list(meta.items())
@@ -26,6 +26,12 @@ def _one(html: str | None, url: str, wanted: list[str], options: dict) -> dict:
         out["links"] = H.links(root, url)
     if "images" in wanted:
         out["images"] = H.images(root, url)
+    if "frame_links" in wanted:
+        out["frame_links"] = H.frame_links(root, url)
+    if "signatures" in wanted:
+        out["signatures"] = sorted({H.signature(n) for n in root.walk() if n.tag not in ("#root", "html", "head", "body") and n.attrs.get("id", n.attrs.get("class"))})
+    if repeated:
+        H.without_signatures(root, set(repeated))
     if "text" in wanted:
         out["text"] = H.inner_text(root)
     if {"html", "markdown"} & set(wanted):
@@ -37,27 +43,43 @@ def _one(html: str | None, url: str, wanted: list[str], options: dict) -> dict:
     return out
 
 
-def page_columns(pages: DataFrame, *wanted: str, url: str = "url", html: str = "html", **options) -> DataFrame:
+def page_columns(pages: DataFrame, *wanted: str, url: str = "url", html: str = "html", repeated: str | None = None, **options) -> DataFrame:
     """The columns of pages but the HTML, and the wanted ones of KINDS.
 
     options: include, exclude (selectors), only_main. Empty main content falls
-    back to the whole page. A null page gives empty columns.
+    back to the whole page. A null page gives empty columns. repeated: a column
+    with the signatures of elements that repeat on the site; text, HTML and
+    Markdown are without them.
     """
+    bounded(pages.sparkSession)
     wanted = list(wanted) or list(KINDS)
-    own = [c for c in pages.columns if c != html and c not in wanted]
+    own = [c for c in pages.columns if c not in (html, repeated) and c not in wanted]
     u = own.index(url)
-    # the last column is the page itself, and goes no further
-    src = pages.select(*own, F.col(html).alias("__html"))
+    # the last columns are the page itself and the site's signatures, and go no further
+    known = F.col(repeated) if repeated else F.lit(None).cast("array<string>")
+    src = pages.select(*own, F.col(html).alias("__html"), known.alias("__repeated"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [_one(h, a or "", wanted, options) for h, a in zip(b.column(len(own)).to_pylist(), b.column(u).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *[pa.array([r[w] for r in rows], ARROW[KINDS[w]]) for w in wanted]], [*own, *wanted])
+            rows = [_one(h, a or "", wanted, options, r) for h, a, r in zip(b.column(len(own)).to_pylist(), b.column(u).to_pylist(), b.column(len(own) + 1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], *[pa.array([r[w] for r in rows], ARROW[KINDS[w]]) for w in wanted]], [*own, *wanted])
 
     schema = ", ".join([f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in own] + [f"{w} {KINDS[w]}" for w in wanted])
     return src.mapInArrow(run, schema)
 
 
+def bounded(spark, size: str = "16m") -> None:
+    """Batches of pages are bounded by their bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def repeated_signatures(pages: DataFrame, site: str = "site", least: int = 2, share: float = 0.5) -> DataFrame:
+    """site, repeated: signatures on at least `least` pages of a site and on that share of them. pages: site, signatures."""
+    n = pages.groupBy(site).agg(F.count("*").alias("__pages"))
+    seen = pages.select(site, F.explode(F.array_distinct("signatures")).alias("s")).groupBy(site, "s").agg(F.count("*").alias("__n"))
+    return seen.join(n, site).where((F.col("__n") >= least) & (F.col("__n") >= share * F.col("__pages"))).groupBy(site).agg(F.sort_array(F.collect_list("s")).alias("repeated"))
+
+
 def links_fast(html: Column) -> Column:
     """Raw hrefs of well-formed anchors without a parse, inside code generation."""
     return F.regexp_extract_all(html, F.lit(r'<a[^>]*\shref="([^"]*)"'), F.lit(1))

@@ -47,3 +47,36 @@ def due(monitors: DataFrame, now: Column, stale_minutes: int = 60) -> DataFrame:
     late = F.col("running_since") < now - F.make_dt_interval(mins=F.lit(stale_minutes))
     action = F.when(F.col("next_run_at") > now, "wait").when(F.col("running_since").isNull(), "run").when(late, "fail_stale").otherwise("skipped_overlap")
     return monitors.withColumn("action", action)
+
+
+def dequeue(jobs: DataFrame, most: int, now: Column, kinds: Column | None = None) -> DataFrame:
+    """jobs in which the next `most` queued ones, by priority, time and id, are active and locked now; an update from a selection of ids."""
+    ready = jobs.where((F.col("status") == "queued") & (F.lit(True) if kinds is None else kinds))
+    chosen = ready.orderBy("priority", "created_at", "id").limit(most).select("id").withColumn("__next", F.lit(True))  # most rows at most
+    taken = F.coalesce("__next", F.lit(False))
+    both = jobs.join(F.broadcast(chosen), "id", "left")
+    return both.withColumns({"status": F.when(taken, "active").otherwise(F.col("status")), "locked_at": F.when(taken, now).otherwise(F.col("locked_at"))}).drop("__next")
+
+
+def finished_until(jobs: DataFrame, until: Column | None = None, start: int = 0, count: int = -1, done_at: str = "done_at", key: str = "id") -> DataFrame:
+    """Finished jobs in the order of their completion, up to a moment, from the start-th on, count of them (-1: all)."""
+    done = jobs.where(F.col(done_at).isNotNull() & (F.lit(True) if until is None else F.col(done_at) <= until)).orderBy(done_at, key)
+    done = done.offset(start) if start else done
+    return done if count < 0 else done.limit(count)
+
+
+def leases(held: DataFrame, asked: DataFrame, now: Column, ttl_ms: int = 30_000, team: str = "team_id", holder: str = "holder_id") -> DataFrame:
+    """The leases after a round of requests: expired ones are gone, holders that ask again are renewed, others are granted in order while the team's limit leaves room.
+
+    held: team, holder, renewed_at. asked: team, holder, limit, asked_at. Result:
+    team, holder, renewed_at, granted; requests that got none have a null time.
+    """
+    alive = held.where(F.col("renewed_at") > now - F.make_dt_interval(secs=F.lit(ttl_ms / 1000).cast("decimal(18,6)")))
+    both = alive.select(team, holder, F.col("renewed_at").alias("__held")).join(asked, [team, holder], "full_outer")
+    busy = alive.groupBy(team).agg(F.count("*").alias("__busy"))
+    w = Window.partitionBy(team).orderBy("asked_at", holder)
+    new = F.col("__held").isNull()
+    both = both.join(busy, team, "left").withColumn("__n", F.sum(new.cast("int")).over(w))
+    granted = ~new | (F.coalesce("__busy", F.lit(0)) + F.col("__n") <= F.col("limit"))
+    renewed = F.when(F.col("asked_at").isNotNull() & granted, now).otherwise(F.col("__held"))
+    return both.select(team, holder, renewed.alias("renewed_at"), granted.alias("granted"))

@@ -49,12 +49,13 @@ def crawl_site(spark, sf_dir):
 
 
 @Q.query("""WITH l AS (SELECT page_id, 'https://example.com/' || CASE page_id % 4 WHEN 0 THEN 'more-' || page_id || '.xml' WHEN 1 THEN 'pic-' || page_id || '.png' ELSE 'page-' || page_id END AS url FROM pages)
-SELECT page_id, url, CASE WHEN page_id % 4 = 0 THEN 'recurse' ELSE 'process' END AS action FROM l WHERE page_id % 4 <> 1""")
+SELECT page_id, url, CASE WHEN page_id % 4 = 0 THEN 'recurse' ELSE 'process' END AS action FROM l WHERE page_id % 4 <> 1 AND page_id % 9 <> 0""")
 def sitemap_instructions(spark, sf_dir):
     i = F.col("page_id")
     name = F.when(i % 4 == 0, F.concat(F.lit("more-"), i.cast("string"), F.lit(".xml"))).when(i % 4 == 1, F.concat(F.lit("pic-"), i.cast("string"), F.lit(".png"))).otherwise(F.concat(F.lit("page-"), i.cast("string")))
-    xml = F.concat(F.lit("<urlset><url><loc> https://example.com/"), name, F.lit(" </loc></url></urlset>"))
-    parse = F.udf(files.parse_sitemap, "struct<kind:string,urls:array<string>>", useArrow=True)
+    end = F.when(i % 9 == 0, "</urls").otherwise("</loc></url></urlset>")  # some are cut off
+    xml = F.concat(F.lit("<urlset><url><loc> https://example.com/"), name, F.lit(" "), end)
+    parse = F.udf(files.sitemap_rows, "struct<kind:string,urls:array<string>,error:string>", useArrow=True)
     s = table(spark, sf_dir, "pages").select("page_id", parse(xml).alias("s")).select("page_id", "s.kind", F.explode("s.urls").alias("url"))
     return files.sitemap_actions(s).select("page_id", "url", "action")
 

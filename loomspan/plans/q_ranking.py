@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loomspan.functions import urls as U
 from loomspan.operators import ranking as R
 
 from .q_tallies import JOBS, jobs
@@ -20,20 +21,20 @@ def _vec(col):
 
 
 @Q.query(f"""WITH v AS (SELECT page_id, {_vec('url')} AS a, {_vec("'example en docs'")} AS b FROM pages), s AS (SELECT page_id, CASE WHEN list_dot_product(a, a) = 0 THEN 0 ELSE list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))) END AS score FROM v)
-SELECT page_id, score::DOUBLE AS score, CAST(row_number() OVER (ORDER BY round(score, 9) DESC, page_id) AS INT) AS place FROM s ORDER BY place LIMIT 100""")
+SELECT page_id, score::DOUBLE AS score, CAST(row_number() OVER (PARTITION BY regexp_extract(url, '^[^:]*://([^/?#:]*)', 1) ORDER BY round(score, 9) DESC, page_id) AS INT) AS place FROM s JOIN pages USING (page_id)""")
 def rank_by_words(spark, sf_dir):
-    s = table(spark, sf_dir, "pages").select("page_id", R.word_cosine(F.col("url"), "example en docs").alias("score"))
-    top = s.orderBy(F.round("score", 9).desc(), "page_id").limit(100)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(F.round("score", 9).desc(), "page_id")))
+    """Every URL's place among those of its host."""
+    s = table(spark, sf_dir, "pages").select("page_id", U.host(F.col("url")).alias("host"), R.word_cosine(F.col("url"), "example en docs").alias("score"))
+    return s.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.round("score", 9).desc(), "page_id"))).drop("host")
 
 
 @Q.query("""WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], q.e::DOUBLE[]) AS score FROM embeddings, q)
-SELECT vec_id, round(score, 6) AS score FROM s ORDER BY s.score DESC, vec_id LIMIT 50""")
+SELECT vec_id, round(score, 6) AS score FROM s""")
 def rank_by_embedding(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     q = e.where("vec_id = 0").select("embedding").first()  # one row
     s = e.select("vec_id", R.cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in q.embedding])).alias("s"))
-    return s.orderBy(F.desc("s"), "vec_id").limit(50).select("vec_id", F.round("s", 6).alias("score"))
+    return s.select("vec_id", F.round("s", 6).alias("score"))
 
 
 @Q.query("""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -44,14 +45,14 @@ def rank_by_bm25(spark, sf_dir):
     return R.bm25(table(spark, sf_dir, "documents"), "that and").withColumn("bm25", F.round("bm25", 6))
 
 
-@Q.query("""WITH a AS (SELECT p_partkey AS id, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS place FROM part), b AS (SELECT p_partkey AS id, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS place FROM part)
-SELECT id, sum(1.0::DOUBLE / (60 + place)) AS score FROM (SELECT * FROM a WHERE place <= 100 UNION ALL SELECT * FROM b WHERE place <= 100) GROUP BY id""")
+@Q.query("""WITH a AS (SELECT p_partkey AS id, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS place FROM part), b AS (SELECT p_partkey AS id, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS place FROM part)
+SELECT id, sum(1.0::DOUBLE / (60 + place)) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY id""")
 def rank_hybrid(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_retailprice", "p_size")
+    """Two rankings of the items of each brand, fused."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_brand", "p_retailprice", "p_size")
 
     def top(c):
-        t = p.orderBy(F.desc(c), "id").limit(100)
-        return t.select("id", F.row_number().over(Window.orderBy(F.desc(c), "id")).alias("place"))
+        return p.select("id", F.row_number().over(Window.partitionBy("p_brand").orderBy(F.desc(c), "id")).alias("place"))
 
     return R.reciprocal_rank_fusion([top("p_retailprice"), top("p_size")], "id")
 

@@ -78,6 +78,14 @@ def parse_sitemap(content: bytes | str) -> tuple[str, list[str]]:
     return kind, [e.text.strip() for item in root for e in item if e.tag.rpartition("}")[2] == "loc" and e.text and e.text.strip()]
 
 
+def sitemap_rows(content: bytes | str | None) -> tuple[str | None, list[str], str | None]:
+    """parse_sitemap with the error instead of raising it, so that one broken sitemap costs no query."""
+    try:
+        return (*parse_sitemap(content or ""), None)
+    except (ValueError, ElementTree.ParseError, OSError, EOFError) as e:
+        return None, [], f"{type(e).__name__}: {e}"
+
+
 def sitemap_actions(locations: DataFrame, url: str = "url", kind: str = "kind") -> DataFrame:
     """recurse into sitemaps, process pages; files are dropped."""
     from loomspan.functions import urls as U

@@ -65,22 +65,25 @@ def exponent(sources: DataFrame, max_repeats: float | None, entropy: float | Non
     return high if max_repeats is not None else low
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens: Column | None = None, max_repeats: float | None = 2.0, entropy: float | None = None, budget_tokens: float | None = None, block_tokens: int = 500_000, most_blocks: int = 1 << 20, most_sources: int = 100_000, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens: Column | None = None, max_repeats: float | None = 2.0, entropy: float | None = None, budget_tokens: float | None = None, block_tokens: int = 500_000, most_blocks: int = 1 << 20, most_sources: int = 100_000, seed: int = 17, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each draw: the id, the source, n_tokens, epoch, block, block_rank, doc_rank, weight.
 
     Ordering by epoch, block_rank, doc_rank gives each source's stream.
     tokens: number of tokens of a row; by default the words of column text.
+    keep: further columns of docs, carried along with one shuffle by block; the
+    rows of a block and epoch then stand together, in the order of the draw.
     A source has a block for every block_tokens tokens, most_blocks at most; larger sources have larger blocks.
     most_sources: up to so many, the table of sources is broadcast; beyond, joined.
     """
     if (max_repeats is None) == (entropy is None):
         raise ValueError("give either max_repeats or entropy")
-    t = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), (n_words(F.col("text")) if tokens is None else tokens.cast("long")).alias("n_tokens"))
-    t = written(t, "mixing")
+    kept = F.struct(*keep) if keep else F.lit(None).cast("boolean")
+    wide = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), (n_words(F.col("text")) if tokens is None else tokens.cast("long")).alias("n_tokens"), kept.alias("__kept"))
+    t = written(wide.drop("__kept"), "mixing")
     totals = t.groupBy("source").agg(F.sum("n_tokens").alias("total"))
     everything = totals.agg(F.sum("total").alias("n"), F.count("*").alias("sources")).first()
     if not everything.n:
-        return t.select("doc_id", "source", "n_tokens", *[F.lit(0).cast("long").alias(c) for c in NEW[1:5]], F.lit(0.0).alias("weight"))
+        return wide.select("doc_id", "source", "n_tokens", *[F.lit(0).cast("long").alias(c) for c in NEW[1:5]], F.lit(0.0).alias("weight"), *[F.col(f"__kept.{c}") for c in keep])
     sources = written(totals.withColumn("share", F.col("total") / F.lit(float(everything.n))), "sources")
     full = sources.where("total > 0")
     a = exponent(full, max_repeats, entropy)
@@ -92,22 +95,26 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens:
     epochs = F.when(F.col("total") > 0, F.floor(F.col("want") / F.col("total") + 1e-9)).otherwise(F.lit(1))
     plan = plan.withColumn("epochs", epochs).withColumn("rest", F.greatest(F.col("want") - F.col("epochs") * F.col("total"), F.lit(0.0)))
     plan = plan.withColumn("blocks", F.greatest(F.lit(1), F.least(F.lit(most_blocks), F.ceil(F.col("total") / block_tokens))))
-    plan = written(plan.select(F.col("source").alias("of"), "weight", "epochs", "rest", "blocks", "total"), "weights")
-    dealt = t.join(F.broadcast(plan) if everything.sources <= most_sources else plan, F.col("source").eqNullSafe(F.col("of")))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("blocks")))
+    # a number for each source, so that a null source needs no null-safe key, and one shuffle serves the join and the windows
+    plan = written(plan.select(F.col("source").alias("of"), "weight", "epochs", "rest", "blocks", "total").withColumn("sid", F.monotonically_increasing_id()), "weights")
+
+    def deal(rows: DataFrame) -> DataFrame:
+        both = rows.join(F.broadcast(plan) if everything.sources <= most_sources else plan, F.col("source").eqNullSafe(F.col("of")))
+        return both.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("blocks")))
+
     # order of blocks in each epoch, and what is left of the budget before each
     last = F.when(F.col("rest") > 0, F.col("epochs")).otherwise(F.col("epochs") - 1).cast("int")
-    block = dealt.groupBy("of", "block").agg(F.sum("n_tokens").alias("size"), F.first("epochs").alias("epochs"), F.first("rest").alias("rest"))
+    block = deal(t).groupBy("sid", "block").agg(F.sum("n_tokens").alias("size"), F.first("epochs").alias("epochs"), F.first("rest").alias("rest"))
     block = block.withColumn("epoch", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))))
-    turn = Window.partitionBy("of", "epoch").orderBy(F.xxhash64("block", "epoch", F.lit(seed)), "block")
+    turn = Window.partitionBy("sid", "epoch").orderBy(F.xxhash64("block", "epoch", F.lit(seed)), "block")
     before = F.coalesce(F.sum("size").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     block = block.withColumn("block_rank", F.row_number().over(turn).cast("long")).withColumn("left", F.when(F.col("epoch") < F.col("epochs"), F.lit(float("inf"))).otherwise(F.col("rest") - before))
-    block = block.where("left > 0").select(F.col("of").alias("b_of"), F.col("block").alias("b_block"), "epoch", "block_rank", "left")
-    draws = dealt.select("doc_id", "source", "n_tokens", "weight", "of", "block").join(block, F.col("of").eqNullSafe(F.col("b_of")) & (F.col("block") == F.col("b_block")))
-    order = Window.partitionBy("of", "block", "epoch").orderBy(F.xxhash64("doc_id", "epoch", F.lit(seed)), "doc_id")
+    block = block.where("left > 0").select("sid", "block", "epoch", "block_rank", "left")
+    draws = deal(wide if keep else t.withColumn("__kept", F.lit(None))).select("doc_id", "source", "n_tokens", "weight", "sid", "block", "__kept").join(block, ["sid", "block"])
+    order = Window.partitionBy("sid", "block", "epoch").orderBy(F.xxhash64("doc_id", "epoch", F.lit(seed)), "doc_id")
     draws = draws.withColumn("doc_rank", F.row_number().over(order).cast("long")).withColumn("used", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     drawn = (F.col("used") <= F.col("left")) & ((F.col("n_tokens") > 0) | (F.col("epoch") == 0))
-    return draws.where(drawn).select("doc_id", "source", "n_tokens", F.col("epoch").cast("long"), F.col("block").cast("long"), "block_rank", "doc_rank", "weight")
+    return draws.where(drawn).select("doc_id", "source", "n_tokens", F.col("epoch").cast("long"), F.col("block").cast("long"), "block_rank", "doc_rank", "weight", *[F.col(f"__kept.{c}") for c in keep])
 
 
 def temperature(share_high: float, share_low: float, max_repeats: float) -> float:

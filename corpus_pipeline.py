@@ -51,12 +51,10 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and those of small sources again, until no source is repeated more than twice as often as another.
 
-    Rows stand in the order of the draws: by epoch, by place of the block, by
-    place in the block, sources side by side. Documents are told apart by id and text, as in the stage before.
+    The rows of a block and epoch stand together, in the order of the draw.
+    Rows of one id, and rows without one, are drawn each for itself.
     """
-    docs = docs.select(*COLUMNS, F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"))
-    draws = mix(docs, doc_id="key", max_repeats=2.0).select(F.col("doc_id").alias("key"), F.struct("epoch", "block_rank", "doc_rank").alias("place"))
-    return docs.join(draws, "key").orderBy("place", F.xxhash64("source"), "key").select(*COLUMNS)
+    return mix(docs.select(*COLUMNS), max_repeats=2.0, keep=("text", "lang", "n_chars")).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

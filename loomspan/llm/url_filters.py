@@ -4,7 +4,9 @@ The trees are trained on URLs that a rule labels. Features are the lengths of
 the URL, host and path, depth, digit ratio, character entropy, numbers of
 parameters, hyphens and host labels, a fragment flag, and statistics of the
 host's suffix (its last label): how often it occurs in the table and how often
-it is blocked among labelled URLs, both over all rows.
+it is blocked among labelled URLs, both over all rows. A URL that the trees are
+trained on gets the rate of the other folds of URLs, so that its own label is
+no part of its features.
 
 Defined results: a null URL or one without `://` has an empty host and path
 and fits no rule; if no URL, or URLs of one label only, are labelled, the
@@ -61,6 +63,10 @@ def features(url: str, host: str, path: str, n: int, rate: float) -> list[float]
     ]
 
 
+#: Parts of the labelled URLs, by hash; a training URL's suffix rate is that of the other parts.
+FOLDS = 5
+
+
 class Trees:
     """Boosted regression trees of equal depth under logistic loss, over quantile bins."""
 
@@ -135,13 +141,22 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], page_id: str = "page_id"
     for rule, verdict in rules.items():
         label = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(label)
     p = p.withColumn("label", label)
-    blocked = (F.col("label") == "block").cast("long")
-    stats = written(p.groupBy("suffix").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum(blocked), F.lit(0)).alias("blocked")), "suffixes")
-    facts = stats.agg(F.count("*").alias("suffixes"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).first()
+    fold, blocked = F.pmod(F.xxhash64("url"), F.lit(FOLDS)), (F.col("label") == "block").cast("long")
+    counts = [F.array(*[F.count(F.when(fold == f, F.col("label"))) for f in range(FOLDS)]).alias("labelled"), F.array(*[F.coalesce(F.sum(F.when(fold == f, blocked)), F.lit(0)) for f in range(FOLDS)]).alias("blocked")]
+    stats = written(p.groupBy("suffix").agg(F.count("*").alias("n"), *counts), "suffixes")
+    total = {c: F.aggregate(c, F.lit(0).cast("long"), lambda x, y: x + y) for c in ("labelled", "blocked")}
+    facts = stats.agg(F.count("*").alias("suffixes"), *[F.sum(total[c]).alias(c) for c in total]).first()
     prior = (facts.blocked or 0) / max(1, facts.labelled or 0)
-    stats = stats.select("suffix", "n", ((F.col("blocked") + 10 * prior) / (F.col("labelled") + 10)).alias("rate"))
+    rate = lambda blocked, labelled: (blocked + 10 * prior) / (labelled + 10)
+    others = F.transform(F.arrays_zip("labelled", "blocked"), lambda f: rate(total["blocked"] - f["blocked"], total["labelled"] - f["labelled"]))
+    stats = stats.select("suffix", "n", rate(total["blocked"], total["labelled"]).alias("rate"), others.alias("others"))
     p = p.join(F.broadcast(stats) if facts.suffixes <= most_suffixes else stats, "suffix", "left")
-    rows = p.where("label is not null").select("url", "host", "path", "n", "rate", "label").dropDuplicates(["url"]).orderBy(F.xxhash64("url"), "url").limit(sample).collect()
+    labelled = p.where("label is not null")
+    # so few rows are below this hash that the cut to the sample moves little
+    urls = labelled.agg(F.approx_count_distinct("url", 0.02)).first()[0]
+    below = -(2**63) + int(2**64 * min(1.0, 1.25 * (sample + 100) / max(1, urls))) - 1
+    known = labelled.where(F.xxhash64("url") <= below).select("url", "host", "path", "n", F.get("others", fold).alias("rate"), "label").dropDuplicates(["url"])
+    rows = known.orderBy(F.xxhash64("url"), "url").limit(sample).collect()
     x = np.array([features(r.url, r.host, r.path, r.n, r.rate) for r in rows], float).reshape(-1, len(FEATURES))
     trees = Trees().fit(x, np.array([r.label == "block" for r in rows], float))
     sent = spark.sparkContext.broadcast(trees)  # rounds * 2^depth splits

@@ -143,6 +143,45 @@ def test_url_sample_is_of_distinct_urls(spark):
     assert len({r.block_score for r in got}) > 1 and len(got) == len(rows)
 
 
+def test_url_verdicts_by_brute_force(spark):
+    """Features, suffix statistics without the own fold, sample and trees, each in plain Python."""
+    g = np.random.default_rng(3)
+    ends = ["com/", "net/es/", "net/fr/", "net/en/", "org/", "example.com/en/", "www.example.com/en/"]
+    urls = [f"https://h{g.integers(9)}.{e}" + "".join(g.choice(list("ab1-/?&="), g.integers(1, 25))) for e in g.choice(ends, 400)]
+    urls += urls[:50] + [None, "", "no url", "https://x.net/es/" + "y/" * 5000]
+    t = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    t = t.select("*", F.xxhash64(F.coalesce("url", F.lit(""))).alias("hash"), F.lit("block").alias("label"), F.lit(1).alias("n"), F.lit("x").alias("host"))  # clashing names
+    got = {r.page_id: r for r in url_filters.judge_urls(t, registry.URL_RULES, sample=120).collect()}
+    hashes = {r.page_id: r.hash for r in t.select("page_id", "hash").collect()}
+    seen, suffixes, of = {}, Counter(), defaultdict(list)
+    for k, u in enumerate(urls):
+        u, r = u or "", got[k]
+        suffix, fold = r.host.rpartition(".")[2], hashes[k] % url_filters.FOLDS
+        seen[k] = (u, r.host, r.path, suffix, fold, registry.URL_RULES.get(r.rule))
+        suffixes[suffix] += 1
+        if r.rule:
+            of[suffix].append((fold, registry.URL_RULES[r.rule] == "block"))
+    labels = [b for rows in of.values() for _, b in rows]
+    prior = sum(labels) / len(labels)
+
+    def rate(suffix, without=None):
+        rows = [b for f, b in of[suffix] if f != without]
+        return (sum(rows) + 10 * prior) / (len(rows) + 10)
+
+    first = {}
+    for k in sorted(seen, key=lambda k: (hashes[k], seen[k][0])):
+        if seen[k][5] and seen[k][0] not in first:
+            first[seen[k][0]] = seen[k]
+    sample = list(first.values())[:120]
+    x = np.array([url_filters.features(u, h, p, suffixes[s], rate(s, f)) for u, h, p, s, f, _ in sample])
+    trees = url_filters.Trees().fit(x, np.array([v == "block" for *_, v in sample], float))
+    score = trees.score(np.array([url_filters.features(u, h, p, suffixes[s], rate(s)) for u, h, p, s, _, _ in seen.values()]))
+    assert len(got) == len(urls) and len(first) > 120
+    for (k, row), b in zip(seen.items(), score, strict=True):
+        assert got[k].block_score == pytest.approx(b, abs=1e-9)
+        assert got[k].verdict == (row[5] or ("block" if b > 0.5 else "allow"))
+
+
 def test_trees_learn():
     g = np.random.default_rng(0)
     x = g.normal(size=(2000, 4))

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cached_by, fold, released, small_batches
+from .common import cached_by, fold, released, small_batches, written
 
 LETTER = regex.compile(r"\p{L}")
 NO_LETTER = regex.compile(r"\P{L}+")
@@ -200,14 +200,22 @@ def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, where, d
     """
     rows = docs.where(where & F.col(text).isNotNull() & (F.col(text) != "") & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
     rows = rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     languages = max(1, sizes.count())
     n = max(1, min(docs_per_language, most_docs // languages))
     chars = max(200, min(chars_per_language, most_chars // languages))
     # four times as long as needed if all texts were that long, and longer where a language has few documents
     each = F.greatest(F.lit(4 * chars // n), F.ceil(F.lit(2 * chars) / F.col("rows"))).cast("int")
     begin = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - each + 1)).cast("int") + 1
-    pieces = rows.join(F.broadcast(sizes) if languages <= 10_000 else sizes, "lang").select("doc_id", "lang", F.xxhash64("text").alias("h"), F.substring(F.col("text"), begin, each).alias("piece"))
+    every = rows.join(F.broadcast(sizes) if languages <= 10_000 else sizes, "lang")
+    piece = [F.col("lang"), F.col("doc_id"), F.xxhash64("text").alias("h"), F.substring(F.col("text"), begin, each).alias("piece")]
+    # of distinct ids, twice as many as needed have a hash below this one; languages that repeated ids leave short are read in full
+    low = (F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5) * F.col("rows") <= 2 * n + 20
+    pieces = written(every.where(low).select(*piece), "pieces")
+    found = sizes.join(pieces.groupBy("lang").agg(F.count("*").alias("found")), "lang", "left")
+    short = found.where(F.coalesce("found", F.lit(0)) < F.least("rows", F.lit(n))).select("lang")
+    if short.limit(1).count():
+        pieces = pieces.join(short, "lang", "left_anti").unionByName(every.join(short, "lang", "left_semi").select(*piece))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")
     chosen = pieces.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n)
     out: dict[str, list[str]] = {}

@@ -316,6 +316,19 @@ def test_near_dedup_of_repeated_ids(spark):
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == [(0, 56, 0, True), (1, 56, 1, True), (3, 56, 3, True), (3, 56, 3, True), (3, 57, 1, False), (4, 0, 4, True), (9, 57, 3, False)]
 
 
+def test_language_sample_is_that_of_the_lowest_hashes(spark):
+    """Whether ids are distinct, so that a bound on the hash finds them, or one id has all rows of its language."""
+    docs = spark.range(5000).selectExpr("id AS doc_id", "'w' || (10000 + id) AS text", "'aa' AS lang")
+    mine = docs.where("pmod(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)), 4) <> 2")
+    want = [r.text for r in mine.orderBy(F.xxhash64("doc_id"), "doc_id").limit(10).collect()]
+    repeated = spark.range(24_000).selectExpr("id % 40 AS doc_id", "'copy ' || (id % 40) AS text", "'l' || (id % 40) AS lang")
+    samples = language_id.learn(docs.union(repeated), docs_per_language=10)
+    assert samples["aa"].split() == want
+    for k in range(40):
+        known = zlib.crc32(str(k).encode()) % 4 != 2
+        assert samples.get(f"l{k}") == (" ".join([f"copy {k}"] * 10) if known else None)
+
+
 def test_many_languages_are_all_learned(spark):
     g = np.random.default_rng(1)
     rows = [(k, " ".join("".join(g.choice(list("abcdefgh"), 5)) for _ in range(30)), f"l{k % 151:03d}") for k in range(900)]

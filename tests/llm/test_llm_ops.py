@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small tables with nulls, ties, repeats and clashing columns."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspan.llm import chat_format, language_id, lm_scoring, mixing, near_dedup, packing, quality_rules, registry, token_counts, url_filters
-from loomspan.llm.attention import AttentionModel
+from loomspan.llm.attention import Adam, AttentionModel, summed_rows
 from loomspan.llm.fingerprints import fingerprint_edits
 from loomspan.llm.pieces import PieceEncoder, cut
 
@@ -492,3 +493,36 @@ def test_lm_scoring_takes_every_id_once(spark):
     for k in first.p:
         assert np.allclose(got[0].p[k], got[1].p[k], atol=1e-6)  # whatever the partitions
     assert np.abs(got[0].p["U"] - first.p["U"]).max() > 0
+
+
+def test_attention_training_without_spare_copies():
+    g = np.random.default_rng(9)
+    p = {"a": g.normal(size=(400, 300)).astype(np.float32), "b": g.normal(size=7).astype(np.float32)}
+    want = {k: x.astype(float) for k, x in p.items()}
+    m, v, adam = dict.fromkeys(p, 0.0), dict.fromkeys(p, 0.0), Adam(p)
+    for t in (1, 2, 3):
+        grad = {k: g.normal(size=x.shape).astype(np.float32) for k, x in p.items()}
+        tracemalloc.start()
+        adam.step(grad, 0.01)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < p["a"].nbytes / 2  # no array of a parameter's size is made
+        for k, q in grad.items():
+            m[k], v[k] = 0.9 * m[k] + 0.1 * q, 0.99 * v[k] + 0.01 * q.astype(float) ** 2
+            want[k] -= 0.01 * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)
+            assert np.allclose(p[k], want[k], atol=1e-5)
+
+
+def test_attention_sums_by_slot():
+    g = np.random.default_rng(10)
+    for size in (50, 70_000):  # slots of two and of four bytes
+        at, rows = g.integers(0, size, 400), g.normal(size=(400, 3))
+        want = np.zeros((size, 3))
+        np.add.at(want, at, rows)
+        assert np.allclose(summed_rows(rows, at, size), want)
+    m = AttentionModel(np.ones(300, int), end_id=0)
+    seqs = [g.integers(0, 300, n) for n in (0, 1, 40, 0, 7, 0)]
+    want = np.zeros((m.classes * m.places, 256))
+    for s in seqs:
+        np.add.at(want, (m.slot[s[1:]], m.slot[s[:-1]] % 256), 1.0)
+    assert np.array_equal(m.contexts(seqs), want) and np.array_equal(m.contexts([], want.copy()), want)

@@ -85,6 +85,19 @@ def links_fast(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r'<a[^>]*\shref="([^"]*)"'), F.lit(1))
 
 
+def language_fast(html: Column) -> Column:
+    """The lang of a well-formed html tag without a parse; null if none."""
+    return F.nullif(F.regexp_extract(html, r'<html[^>]*[\t\n\f\r ]lang="([^"]*)"', 1), F.lit(""))
+
+
+def title_fast(html: Column) -> Column:
+    """The first plain title without a parse: only &lt;, &gt; and &amp; are decoded, only space separators are trimmed; empty if none."""
+    out = F.regexp_replace(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1), r"\A\p{Zs}+|\p{Zs}+\z", "")
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return out
+
+
 def without_base64_images(md: Column) -> Column:
     return F.regexp_replace(md, r"(!\[.*?\])\(data:image/.*?;base64,.*?\)", "$1(<Base64-Image-Removed>)")
 

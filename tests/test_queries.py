@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from loomspan import catalog
 
@@ -56,3 +57,15 @@ def test_entry(spark, small):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_metadata_of_odd_pages(spark, tmp_path):
+    titles = ["a &quot;b&quot;", "a&amp", "&amp;lt;&copy; &#65;", "\n a\t", "\u00a0\u3000 a b \u2003", "a\u200b\n", " ", "", "<b>x</b>", "a</title><title>b", "$1 \\\\ &gt;&lt;"]
+    html = [f'<html dir="x"\n lang="l{k}"><title>{t}</title>' for k, t in enumerate(titles)]
+    html += [None, "", "no tags", "<TITLE>a</TITLE>", "<title lang='x'>a</title>", "<html lang=''><title>open", '<html lang="">', "<html lang='en'>", '<html xml:lang="a" lang="b" lang="c">', '<html\x0blang="d">', '<html\u00a0lang="e">', '<meta property="og:title" content="g"><title> </title>']
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").withColumn("url", F.lit("http://a.com/")).write.parquet(str(tmp_path / "pages.parquet"))
+    c = duckdb.connect()
+    c.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = c.execute(SQL["html_metadata"]).fetchall()
+    got = QUERIES["html_metadata"](spark, str(tmp_path)).select("page_id", "language", "title").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(got) == len(html)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspan.llm import chat_format, language_id, lm_scoring, mixing, near_dedup, packing, quality_rules, registry, token_counts, url_filters
-from loomspan.llm.attention import Adam, AttentionModel, summed_rows
+from loomspan.llm.attention import Adam, AttentionModel, Room, summed_rows
 from loomspan.llm.fingerprints import fingerprint_edits
 from loomspan.llm.pieces import PieceEncoder, cut
 
@@ -526,3 +526,38 @@ def test_attention_sums_by_slot():
     for s in seqs:
         np.add.at(want, (m.slot[s[1:]], m.slot[s[:-1]] % 256), 1.0)
     assert np.array_equal(m.contexts(seqs), want) and np.array_equal(m.contexts([], want.copy()), want)
+
+
+def test_attention_steps_in_kept_arrays():
+    g = np.random.default_rng(11)
+    m = AttentionModel(np.ones(300, int), end_id=0).fit([g.integers(0, 300, 400)], steps=2)
+    x, y, counted, _ = m.windows([g.integers(0, 300, n) for n in (1500, 43, 2000)])
+    room, most = Room(np.float32), {}
+    for a, b in ((0, 256), (256, 300), (100, 356)):  # a smaller step between two of one size
+        at = slice(a, b)
+        for kept in (None, room):
+            tracemalloc.start()
+            loss, grad = m._step(x[at], m.slot[y[at]], counted[at], kept)
+            most[kept is room] = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            if kept is None:
+                want = loss, {k: q.copy() for k, q in grad.items()}
+        assert loss == want[0] and all(np.array_equal(grad[k], q) for k, q in want[1].items())
+    assert most[True] < most[False] / 2
+
+
+def test_lm_scoring_learns_from_ids_written_once(spark):
+    rows = [(k, " ".join(WORDS[(k * i) % len(WORDS)] for i in range(1 + 9 * k))) for k in range(40)] + [(40, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("dealt", F.xxhash64("doc_id", "text")).select("doc_id", "dealt", "text")
+    ids = lm_scoring.WordIds.of(registry.byte_bpe())
+    made = [ids.sequence(t, np.array([50_256], "<u4").tobytes()) for _, t in rows]
+    counts = np.bincount(np.concatenate(made), minlength=50_257)
+    coded = lm_scoring.encoded(docs, registry.byte_bpe(), 50_257, 50_256)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u2").tolist() for r in coded.collect()} == dict(enumerate(x.tolist() for x in made))
+    want = AttentionModel(counts, 50_256)
+    assert np.array_equal(lm_scoring.contexts(coded, counts, 50_256), want.contexts(made))
+    got = [lm_scoring.further_trained(d, AttentionModel(counts, 50_256).fit(made[:5], steps=3), registry.byte_bpe(), 41, 13, 9) for d in (docs.select("doc_id", "text"), coded)]
+    assert got[0].learned == got[1].learned == counts.sum()
+    assert all(np.allclose(got[0].p[k], got[1].p[k], atol=1e-6) for k in got[0].p)
+    long = np.array([3, 70_000])  # beyond two bytes
+    assert next(lm_scoring._parts([lm_scoring.coded(long, 70_001)], 70_001))[0].tolist() == long.tolist()

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions import html as H
+from loomspan.operators.crawl import checkpointed
 
 LISTS = {"links": "array<string>", "images": "array<string>"}
 KINDS = {"frame_links": "array<string>", "signatures": "array<string>", "title": "string", "language": "string", "base_url": "string", "links": "array<string>", "images": "array<string>", "metadata": "map<string,array<string>>", "text": "string", "html": "string", "markdown": "string"}
@@ -36,8 +37,9 @@ def _one(html: str | None, url: str, wanted: list[str], options: dict, repeated:
         out["text"] = H.inner_text(root)
     if {"html", "markdown"} & set(wanted):
         main = H.transform(root, url, **options)
-        out["html"], out["markdown"] = H.render(main), H.markdown(main)
-        if not out["markdown"].strip() and options.get("only_main", True):
+        out["html"] = H.render(main) if "html" in wanted else None
+        out["markdown"] = H.markdown(main) if "markdown" in wanted else None
+        if out["markdown"] is not None and not out["markdown"].strip() and options.get("only_main", True):
             full = H.transform(H.parse(html), url, **{**options, "only_main": False})
             out["markdown"] = H.markdown(full)
     return out
@@ -74,10 +76,32 @@ def bounded(spark, size: str = "16m") -> None:
 
 
 def repeated_signatures(pages: DataFrame, site: str = "site", least: int = 2, share: float = 0.5) -> DataFrame:
-    """site, repeated: signatures on at least `least` pages of a site and on that share of them. pages: site, signatures."""
-    n = pages.groupBy(site).agg(F.count("*").alias("__pages"))
-    seen = pages.select(site, F.explode(F.array_distinct("signatures")).alias("s")).groupBy(site, "s").agg(F.count("*").alias("__n"))
-    return seen.join(n, site).where((F.col("__n") >= least) & (F.col("__n") >= share * F.col("__pages"))).groupBy(site).agg(F.sort_array(F.collect_list("s")).alias("repeated"))
+    """site, repeated: signatures on at least `least` pages of a site and on that share of them. pages: site, signatures.
+
+    Pages are read once: each counts for its signatures, and as a page under null.
+    """
+    marks = F.coalesce(F.array_distinct(F.array_compact("signatures")), F.array().cast("array<string>"))
+    seen = pages.where(F.col(site).isNotNull()).select(site, F.explode(F.concat(F.array(F.lit(None).cast("string")), marks)).alias("s")).groupBy(site, "s").agg(F.count("*").alias("__n"))
+    of_site = F.max(F.when(F.col("s").isNull(), F.col("__n"))).over(Window.partitionBy(site))
+    some = seen.where(F.col("s").isNull() | (F.col("__n") >= least)).withColumn("__pages", of_site)
+    return some.where(F.col("s").isNotNull() & (F.col("__n") >= share * F.col("__pages"))).groupBy(site).agg(F.sort_array(F.collect_list("s")).alias("repeated"))
+
+
+def with_repeated(pages: DataFrame, known: DataFrame, site: str = "site", most: int = 100_000) -> DataFrame:
+    """pages with what repeated_signatures found on their site.
+
+    What was found is kept, so that pages are not read again for it. Up to
+    `most` signatures in all it is a broadcast: pages of one large site stay
+    where they are; beyond, the join is shuffled.
+    """
+    known = checkpointed(known)
+    small = (known.agg(F.sum(F.size("repeated") + 1).alias("n")).first().n or 0) <= most
+    return pages.join(F.broadcast(known) if small else known, site, "left")
+
+
+def spread(rows: DataFrame, at_once: int = 20_000) -> DataFrame:
+    """Rows over tasks of about `at_once` rows: a small file of rows that each become a page is a task or two as it is read."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // at_once)))
 
 
 def links_fast(html: Column) -> Column:

@@ -221,7 +221,8 @@ PAGE = """'<html><head><base href="https://cdn.example.com/x/"><meta property="o
 
 
 def made_pages(spark, sf_dir):
-    return over(spark, sf_dir, f"SELECT p_partkey AS page_id, 'https://site.example.com/' || p_partkey AS url, {PAGE} AS html FROM part", "part")
+    part = P.spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    return spark.sql(f"SELECT p_partkey AS page_id, 'https://site.example.com/' || p_partkey AS url, {PAGE} AS html FROM {{part}}", part=part)
 
 
 @Q.query("""SELECT p_partkey AS page_id, list_sort(list_distinct(['https://cdn.example.com/og' || p_partkey || '.png', 'https://cdn.example.com/x/fav.ico', 'https://cdn.example.com/x/a' || p_partkey || '.png', 'https://cdn.example.com/x/b.png', 'https://cdn.example.com/x/c' || p_size || '.png', 'https://h.org/d.png', 'https://cdn.example.com/x/v.jpg', 'https://cdn.example.com/x/bg.gif'])) AS images, ['https://site.example.com/in' || p_partkey] AS frame_links FROM part""")
@@ -235,8 +236,7 @@ def html_without_repeated(spark, sf_dir):
     p = made_pages(spark, sf_dir).withColumn("site", U.host(F.col("url")))
     p = p.withColumn("html", F.regexp_replace("html", r"<(img|video|iframe)[^>]*>(</\w+>)?", ""))
     known = P.repeated_signatures(P.page_columns(p, "signatures").select("site", "signatures"))
-    with_known = p.join(known, "site", "left")
-    return P.page_columns(with_known, "markdown", repeated="repeated").select("page_id", "markdown")
+    return P.page_columns(P.with_repeated(p, known), "markdown", repeated="repeated").select("page_id", "markdown")
 
 
 @Q.query("""SELECT p_partkey AS page_id, CAST(pos AS INT) AS pos, text, kind FROM part, (VALUES (0, 'Text', 'text'), (1, 'Two!', 'text'), (2, '- One - Two **bold**', 'text')) t(pos, text0, kind), LATERAL (SELECT CASE pos WHEN 0 THEN 'Text ' || p_partkey || '.' ELSE text0 END AS text)""")

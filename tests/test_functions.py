@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import random
 import zipfile
 from datetime import datetime, timezone
 
@@ -169,3 +170,24 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r.change_status for r in spark.sql("select * from changes order by scraped_at").collect()] == ["new", "changed"]
+
+
+def test_plain_pages_parse_alike():
+    g = random.Random(4)
+    parts = ["<p>", "</p>", "<li>", "<ul>", "</ul>", "<div class=\"a  b\">", "</div>", "<br>", "<td>", "<tr>", "<table>", "</table>", "<a href=\"x>y<z\" href=\"\">", "</a>", "<b>", "</b>", "text > 'x'\n", "\x00\"", "</stray>", "<h1 id=\"'t'\">"]
+    odd = ["&amp;", "<P>", "<br/>", "<script>", "<title>", "<", "<a b=c>", "<a  b=\"c\">", "<!-- x -->", "</p >", "<x_y>", "<a b=\"c\"d=\"e\">", "<a b=\"c\" >"]
+
+    def tree(n):
+        return n if isinstance(n, str) else (n.tag, n.attrs, [tree(c) for c in n.children])
+
+    plain = 0
+    for k in range(3000):
+        html = "".join(g.choice(parts if k % 2 or g.random() < 0.9 else odd) for _ in range(g.randrange(30)))
+        b = H._Builder()
+        b.feed(html)
+        b.close()
+        fast = H._plainly_parsed(html)
+        plain += fast is not None
+        assert tree(H.parse(html)) == tree(b.root) and (fast is None or tree(fast) == tree(b.root))
+        assert k % 2 == 0 or fast is not None
+    assert 1500 < plain < 3000

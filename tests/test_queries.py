@@ -4,9 +4,12 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from loomspan import catalog
+from loomspan.operators.page_columns import repeated_signatures, with_repeated
+from loomspan.plans import q_service
 
 QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
@@ -69,3 +72,28 @@ def test_metadata_of_odd_pages(spark, tmp_path):
     want = c.execute(SQL["html_metadata"]).fetchall()
     got = QUERIES["html_metadata"](spark, str(tmp_path)).select("page_id", "language", "title").collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(got) == len(html)
+
+
+def test_repeated_elements_in_one_reading(spark, tmp_path):
+    pages = [("a", ["x", "y", "x"]), ("a", ["x"]), ("a", None), ("b", ["y"]), ("b", ["y", "z", None]), ("b", []), ("b", []), ("b", ["z"]), ("c", ["x"]), (None, ["x"]), (None, ["x"])]
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    p = spark.createDataFrame(pages, "site string, signatures array<string>")
+    known = repeated_signatures(p.mapInArrow(read, p.schema))
+    assert {r.site: r.repeated for r in known.collect()} == {"a": ["x"]}  # "y" and "z" are on two of five pages of b
+    assert reads.value <= len(pages)
+    for most in (100, 0):  # as a broadcast, and by a shuffled join
+        got = with_repeated(p.select("site"), known, most=most)
+        assert sorted(map(str, got.collect())) == sorted(str(Row(site=s, repeated=["x"] if s == "a" else None)) for s, _ in pages)
+
+
+def test_made_pages_are_spread(spark, tmp_path):
+    spark.range(50_000).selectExpr("id as p_partkey", "cast(id % 50 as int) as p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    made = q_service.made_pages(spark, str(tmp_path))
+    assert made.rdd.getNumPartitions() >= 4  # one row group, in one task as it is read
+    assert made.count() == 50_000

@@ -561,3 +561,24 @@ def test_lm_scoring_learns_from_ids_written_once(spark):
     assert all(np.allclose(got[0].p[k], got[1].p[k], atol=1e-6) for k in got[0].p)
     long = np.array([3, 70_000])  # beyond two bytes
     assert next(lm_scoring._parts([lm_scoring.coded(long, 70_001)], 70_001))[0].tolist() == long.tolist()
+
+
+def test_attention_runs_learn_as_windows():
+    g = np.random.default_rng(12)
+    m = AttentionModel(np.ones(300, int), end_id=0).fit([g.integers(0, 300, 400)], steps=5)
+    seqs = [g.integers(1, 300, n) for n in (1, 8, 9, 150, 1, 40)]
+    x, y, counted, _ = m.windows(seqs)
+    loss, want = m._step(x, m.slot[y], counted)
+    room = Room(np.float32)
+    for run in (1, 4, 16, 64):
+        x, y, counted = m.runs(seqs, run)
+        assert x.shape == (len(x), (run + 1) * m.stride)
+        assert sorted(y[counted].tolist()) == sorted(np.concatenate(seqs).tolist())  # each id once
+        for kept in (None, room):
+            again, grad = m._run_step(x, m.slot[y], counted, kept)
+            assert abs(again - loss) < 1e-5 and all(np.allclose(grad[k], q, atol=1e-5 * np.abs(q).max()) for k, q in want.items())
+    # a part of many neighbours looks up a slot's keys and values once, not once for each window that sees it
+    x, _, _ = m.runs([g.integers(1, 300, 8000)], 16)
+    assert x.size < 1.1 * 8000
+    p, learned = m.further([seqs, seqs[:1]], batch=8)
+    assert learned == sum(map(len, seqs)) + 1 and np.abs(p["U"] - m.p["U"]).max() > 0

@@ -582,3 +582,10 @@ def test_attention_runs_learn_as_windows():
     assert x.size < 1.1 * 8000
     p, learned = m.further([seqs, seqs[:1]], batch=8)
     assert learned == sum(map(len, seqs)) + 1 and np.abs(p["U"] - m.p["U"]).max() > 0
+
+
+def test_lm_scoring_deals_shards_in_turn(spark):
+    rows = spark.range(3000).select(F.pmod(F.xxhash64("id"), F.lit(30)).alias("shard"))
+    for n, most in ((30, 1), (7, 5), (1, 30)):
+        at = lm_scoring.in_turn(rows, "shard", n).select("shard", F.spark_partition_id().alias("p")).groupBy("p").agg(F.countDistinct("shard").alias("shards"), F.count("*").alias("rows")).collect()
+        assert len(at) == n and max(r.shards for r in at) == most and sum(r.rows for r in at) == 3000
